@@ -31,7 +31,7 @@ from quern.llm.common import as_bytes, checkpointed, connected_components, map_a
 SEED = 42
 LEVELS, BLOCK = 8, 8
 #: Distinct fingerprints that a shard holds on average, at most.
-SHARD = 20_000
+SHARD = 100_000
 #: Pairs that are compared at once without further pruning.
 DIRECT = 1 << 20
 
