@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import chat, decontaminate, langid, licenses, pieces, quality, simhash, substrings
+from quern.llm import chat, decontaminate, langid, licenses, lines, pieces, quality, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_chat(chat.format_chat(rows.unionByName(own)))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_report(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_line_dedup": op4_line_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
@@ -66,4 +72,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL where SQL can express the query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": rf"""
+WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+ln AS (SELECT doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS t FROM raw),
+tk AS (
+  SELECT doc_id, line, string_split_regex(trim(regexp_replace(t, '[^ \t\r\x0b\x0c]*[0-9][^ \t\r\x0b\x0c]*', '<*>', 'g'),
+         ' ' || chr(9) || chr(13) || chr(11) || chr(12)), '[ \t\r\x0b\x0c]+') AS tok
+  FROM ln),
+lf AS (SELECT *, len(tok) AS n, tok[1:{lines.DEPTH}] AS path FROM tk WHERE len(tok) >= {lines.MIN_TOKENS}),
+un AS (SELECT doc_id, line, n, path, unnest(range(n)) AS at, unnest(tok) AS token FROM lf),
+often AS (SELECT n, path, at, token FROM un GROUP BY ALL HAVING count(*) >= {lines.MIN_DOCS} AND token <> '<*>'),
+shape AS (
+  SELECT u.doc_id, u.line, string_agg(CASE WHEN o.token IS NULL THEN '<*>' ELSE u.token END, ' ' ORDER BY u.at) AS template
+  FROM un u LEFT JOIN often o ON u.n = o.n AND u.path = o.path AND u.at = o.at AND u.token = o.token
+  GROUP BY u.doc_id, u.line, u.n HAVING count(o.token) >= {lines.CONSTANT} * u.n),
+recurring AS (SELECT template, min(doc_id) AS first FROM shape GROUP BY template HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+gone AS (SELECT doc_id, line FROM shape JOIN recurring USING (template) WHERE doc_id > first),
+kept AS (
+  SELECT ln.doc_id, string_agg(CASE WHEN g.line IS NULL THEN t END, chr(10) ORDER BY ln.line) AS text, count(*) AS n_lines, count(g.line) AS n_dropped
+  FROM ln LEFT JOIN gone g ON ln.doc_id = g.doc_id AND ln.line = g.line GROUP BY ln.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+""",
+}
