@@ -81,11 +81,11 @@ tk AS (
          ' ' || chr(9) || chr(13) || chr(11) || chr(12)), '[ \t\r\x0b\x0c]+') AS tok
   FROM ln),
 lf AS (SELECT *, len(tok) AS n, tok[1:{lines.DEPTH}] AS path FROM tk WHERE len(tok) >= {lines.MIN_TOKENS}),
-un AS (SELECT doc_id, line, n, path, unnest(range(n)) AS at, unnest(tok) AS token FROM lf),
-often AS (SELECT n, path, at, token FROM un GROUP BY ALL HAVING count(*) >= {lines.MIN_DOCS} AND token <> '<*>'),
+un AS (SELECT doc_id, line, n, path, unnest(range(n)) AS pos, unnest(tok) AS token FROM lf),
+often AS (SELECT n, path, pos, token FROM un GROUP BY ALL HAVING count(*) >= {lines.MIN_DOCS} AND token <> '<*>'),
 shape AS (
-  SELECT u.doc_id, u.line, string_agg(CASE WHEN o.token IS NULL THEN '<*>' ELSE u.token END, ' ' ORDER BY u.at) AS template
-  FROM un u LEFT JOIN often o ON u.n = o.n AND u.path = o.path AND u.at = o.at AND u.token = o.token
+  SELECT u.doc_id, u.line, string_agg(CASE WHEN o.token IS NULL THEN '<*>' ELSE u.token END, ' ' ORDER BY u.pos) AS template
+  FROM un u LEFT JOIN often o ON u.n = o.n AND u.path = o.path AND u.pos = o.pos AND u.token = o.token
   GROUP BY u.doc_id, u.line, u.n HAVING count(o.token) >= {lines.CONSTANT} * u.n),
 recurring AS (SELECT template, min(doc_id) AS first FROM shape GROUP BY template HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
 gone AS (SELECT doc_id, line FROM shape JOIN recurring USING (template) WHERE doc_id > first),
