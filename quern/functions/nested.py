@@ -259,7 +259,7 @@ def list_aggregate(x, name: str, *args):
         "any_value": F.try_element_at(some, F.lit(1)), "sum": F.when(~empty, F.aggregate(m["x"], F.lit(0.0), lambda s, v: s + v)),
         "product": F.when(~empty, F.aggregate(m["x"], F.lit(1.0), lambda s, v: s * v)), "avg": m["mean"],
         "var_pop": m["m2"] / n, "var_samp": m["m2"] / F.when(m["n"] > 1, m["n"] - 1), "stddev_pop": F.sqrt(m["m2"] / n), "stddev_samp": F.sqrt(m["m2"] / F.when(m["n"] > 1, m["n"] - 1)),
-        "string_agg": F.array_join(F.transform(some, lambda e: e.cast("string")), args[0] if args else ","), "approx_count_distinct": F.size(F.array_distinct(some)).cast("long"),
+        "string_agg": F.when(~empty, F.array_join(F.transform(some, lambda e: e.cast("string")), args[0] if args else ",")), "approx_count_distinct": F.size(F.array_distinct(some)).cast("long"),
     }
     found |= {"mean": found["avg"], "variance": found["var_samp"], "stddev": found["stddev_samp"]}
     if name == "median":
@@ -290,11 +290,14 @@ def map_concat(*ms):
     """A later map's value for a key wins."""
     out = col(ms[0])
     for m in ms[1:]:
-        m = col(m)
-        out = F.map_concat(F.map_filter(out, lambda k, _, m=m: ~F.map_contains_key(m, k)), m)
+        out = F.map_concat(_without(out, col(m)), col(m))
     return out
 
 
+def _without(m, other):
+    return F.map_filter(m, lambda k, _: ~F.map_contains_key(other, k))
+
+
 @register("map_extract", "element_at")
 def map_extract(m, k):
     """A list of the value, empty where the key is absent."""

@@ -30,6 +30,6 @@ def alias(name: str, *more: str) -> None:
         FUNCTIONS[m] = FUNCTIONS[name]
 
 
-def call(name: str, *args: object) -> Column:
+def call(name: str, *args: object, **named: object) -> Column:
     """The function registered under ``name``, applied."""
-    return FUNCTIONS[name](*args)
+    return FUNCTIONS[name](*args, **named)

@@ -152,18 +152,21 @@ def date_diff(part: str, a, b):
         size = {"month": 1, "quarter": 3, "year": 12}.get(part) or 12 * _YEARS[part]
         return (F.floor(months(b) / size) - F.floor(months(a) / size)).cast("long")
     size = {"week": 7 * 86_400_000_000, "day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000, "microsecond": 1}[part]
-    shift = 3 * 86_400_000_000 if part == "week" else 0  # weeks begin on Monday
-    return (F.floor((_micros(b) + shift) / size) - F.floor((_micros(a) + shift) / size)).cast("long")
+    return (F.floor(_micros(b) / size) - F.floor(_micros(a) / size)).cast("long")  # weeks are of seven days from 1970-01-01
 
 
 @register("date_sub", "datesub")
 def date_sub(part: str, a, b):
     """Whole parts elapsed."""
     a, b = col(a).cast("timestamp_ntz"), col(b).cast("timestamp_ntz")
-    size = {"decade": ("YEAR", 10), "century": ("YEAR", 100), "millennium": ("YEAR", 1000)}.get(part)
-    if size:
-        return (F.timestamp_diff(size[0], a, b) / size[1]).cast("long")
-    return F.timestamp_diff(part.upper(), a, b)
+    size = {"month": 1, "quarter": 3, "year": 12, "decade": 120, "century": 1200, "millennium": 12000}.get(part)
+    if size is None:
+        return F.timestamp_diff(part.upper(), a, b)
+    # Months whose last days are fewer count as whole at their end.
+    months = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
+    there = F.timestamp_add("MONTH", months, a)
+    whole = months - F.when((a <= b) & (there > b), 1).when((a > b) & (there < b), -1).otherwise(0)
+    return (whole / size).cast("long")
 
 
 @register()

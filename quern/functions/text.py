@@ -266,7 +266,7 @@ def regexp_escape(s):
 def chr_(n):
     """Any code point, by its UTF-8 bytes."""
     n = col(n)
-    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32BE")
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
 @register("bin", "to_binary")
@@ -366,9 +366,10 @@ def printf(pattern: str, *xs):
 
 def _readable(n: Column, units: list[str], base: int) -> Column:
     out, whole = F.concat(n.cast("string"), F.lit(f" {units[0]}")), F.abs(n)
+    div = lambda x, k: F.call_function("div", x, F.lit(k).cast("long"))
     for i, u in enumerate(units[1:], 1):
-        tenth = F.expr("1") * F.floor(whole * 10 / F.lit(float(base**i)))
-        text = F.concat(F.floor(tenth / 10).cast("long").cast("string"), F.lit("."), (tenth % 10).cast("int").cast("string"), F.lit(f" {u}"))
+        tenth = div((div(whole, base ** (i - 1)) % base) * 10, base)  # of what is left at the unit below
+        text = F.concat(div(whole, base**i).cast("string"), F.lit("."), tenth.cast("string"), F.lit(f" {u}"))
         out = F.when(whole >= base**i, text).otherwise(out)
     return F.when(n == 1, F.lit("1 byte")).otherwise(out)
 

@@ -30,7 +30,10 @@ def plain(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else int(v) if v == int(v) and abs(v) < 1e15 else float(f"{v:.9g}") if not math.isinf(v) else str(v)
+        if math.isnan(v) or math.isinf(v):
+            return str(v)
+        v = float(f"{v:.9g}")
+        return int(v) if v == int(v) else v
     if isinstance(v, int):
         return v
     if isinstance(v, datetime.datetime):
