@@ -151,8 +151,10 @@ def date_diff(part: str, a, b):
         months = lambda x: F.year(x) * 12 + F.month(x) - 1
         size = {"month": 1, "quarter": 3, "year": 12}.get(part) or 12 * _YEARS[part]
         return (F.floor(months(b) / size) - F.floor(months(a) / size)).cast("long")
-    size = {"week": 7 * 86_400_000_000, "day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000, "microsecond": 1}[part]
-    return (F.floor(_micros(b) / size) - F.floor(_micros(a) / size)).cast("long")  # weeks are of seven days from 1970-01-01
+    if part == "week":  # whole weeks between the days
+        return (F.datediff(b.cast("date"), a.cast("date")) / 7).cast("long")
+    size = {"day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000, "microsecond": 1}[part]
+    return (F.floor(_micros(b) / size) - F.floor(_micros(a) / size)).cast("long")
 
 
 @register("date_sub", "datesub")
