@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,3 +25,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` in ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder in spark.checkpoint.dir, its lineage cut; a folder of our own only where none is set."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
+    return df.checkpoint(eager=True)
