@@ -21,6 +21,8 @@ from quern.llm.common import checkpointed
 DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT = 3, 5, 3, 0.7
 #: White space inside lines, and what stands for a variable field.
 SPACE, FIELD = " \t\r\x0b\x0c", "<*>"
+#: Leaves that may be broadcast.
+BROADCAST_LEAVES = 1_000_000
 NO_ID = -(1 << 63)
 
 
@@ -34,10 +36,10 @@ def _tokens(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, line, leaf, tokens) of the lines of MIN_TOKENS tokens or more."""
+    """(doc, line, leaf, text) of the lines of MIN_TOKENS tokens or more."""
     rows = docs.select(_doc().alias("doc"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line", "text"))
-    rows = rows.select("doc", "line", _tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
-    return rows.select("doc", "line", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens")
+    rows = rows.withColumn("tokens", _tokens(F.col("text"))).where(F.size("tokens") >= MIN_TOKENS)
+    return rows.select("doc", "line", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "text")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
@@ -45,8 +47,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     lines = _lines(docs)
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
     leaves = checkpointed(leaves.where((F.col("n") >= MIN_DOCS) & (F.col("low") < F.col("high"))).select("leaf"))
+    if leaves.count() <= BROADCAST_LEAVES:  # eight bytes each; more are joined by a shuffle of the lines
+        leaves = F.broadcast(leaves)
     lines = checkpointed(lines.join(leaves, "leaf", "left_semi"))
-    tokens = lines.select("doc", "line", "leaf", F.posexplode("tokens").alias("at", "token"))
+    tokens = lines.select("doc", "line", "leaf", F.posexplode(_tokens(F.col("text"))).alias("at", "token"))
     often = tokens.groupBy("leaf", "at", "token").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS).withColumn("constant", F.lit(1)).drop("n")
     parts = tokens.join(often, ["leaf", "at", "token"], "left").withColumn("constant", F.coalesce(F.when(F.col("token") == FIELD, 0), "constant", F.lit(0)))
     field = F.when(F.col("constant") == 1, F.col("token")).otherwise(FIELD)
