@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from quern.operators.rows import numbered
 
 
-def _number(c: Column) -> Column:
-    """A time or number as a double that keeps its order."""
-    return F.coalesce(c.cast("double"), c.cast("timestamp").cast("double"))
+def _number(df: DataFrame, name: str) -> Column:
+    """A time (in seconds) or number as a double that keeps its order."""
+    c = F.col(name)
+    return (c.cast("timestamp") if df.schema[name].dataType.typeName() in ("date", "timestamp", "timestamp_ntz") else c).cast("double")
 
 
 def asof_join(
@@ -29,13 +30,13 @@ def asof_join(
     by = by or []
     forward = 1 if op[0] == ">" else -1
     rights = right.columns
-    edge = left.select(_number(F.col(left_on)).alias("t")).unionByName(right.select(_number(F.col(right_on)).alias("t"))).agg(F.min("t"), F.max("t")).first()
+    edge = left.select(_number(left, left_on).alias("t")).unionByName(right.select(_number(right, right_on).alias("t"))).agg(F.min("t"), F.max("t")).first()
     low, span = edge[0] or 0.0, max((edge[1] or 0.0) - (edge[0] or 0.0), 1e-9)
     keys = [f"_k{i}" for i in range(len(by))]
     strict = len(op) == 1
     # At one time right rows come first, unless the comparison is strict.
-    l = left.select(*[F.col(a).alias(k) for (a, _), k in zip(by, keys, strict=True)], _number(F.col(left_on)).alias("_t"), F.lit(1 - strict).alias("_side"), F.struct(*left.columns).alias("_l"), F.lit(None).cast(right.schema.simpleString()).alias("_r"))
-    r = right.select(*[F.col(b).alias(k) for (_, b), k in zip(by, keys, strict=True)], _number(F.col(right_on)).alias("_t"), F.lit(int(strict)).alias("_side"), F.lit(None).cast(left.schema.simpleString()).alias("_l"), F.struct(*rights).alias("_r"))
+    l = left.select(*[F.col(a).alias(k) for (a, _), k in zip(by, keys, strict=True)], _number(left, left_on).alias("_t"), F.lit(1 - strict).alias("_side"), F.struct(*left.columns).alias("_l"), F.lit(None).cast(right.schema.simpleString()).alias("_r"))
+    r = right.select(*[F.col(b).alias(k) for (_, b), k in zip(by, keys, strict=True)], _number(right, right_on).alias("_t"), F.lit(int(strict)).alias("_side"), F.lit(None).cast(left.schema.simpleString()).alias("_l"), F.struct(*rights).alias("_r"))
     known = F.col("_t").isNotNull()
     for k in keys:
         known &= F.col(k).isNotNull()
@@ -45,11 +46,11 @@ def asof_join(
     ends = both.where("_r is not null").groupBy(*keys, "_b").agg(F.max_by("_r", F.col("_t")).alias("_end"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     spots = both.select(*keys, "_b").distinct().join(ends, [*keys, "_b"], "left").withColumn("_carry", F.last("_end", ignorenulls=True).over(before))
-    spots = spots.select(*keys, "_b", "_carry")
-    same = both["_b"] == spots["_b"]
+    spots = spots.select(*[F.col(k).alias(f"_s{k}") for k in keys], F.col("_b").alias("_sb"), "_carry")
+    same = F.col("_b") == F.col("_sb")
     for k in keys:
-        same &= both[k].eqNullSafe(spots[k])
-    laid = both.join(spots, same, "left").select(*[both[k] for k in keys], both["_b"], "_t", "_side", "_l", "_r", "_carry")
+        same &= F.col(k).eqNullSafe(F.col(f"_s{k}"))
+    laid = both.join(spots, same, "left").select(*keys, "_b", "_t", "_side", "_l", "_r", "_carry")
     inside = Window.partitionBy(*keys, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     found = laid.withColumn("_m", F.coalesce(F.last("_r", ignorenulls=True).over(inside), "_carry")).where("_l is not null")
     found = found.withColumn("_m", F.when(known, F.col("_m")))
@@ -68,14 +69,19 @@ def asof_join(
     return out
 
 
+def _binned(df: DataFrame, low: str, high: str, width: float) -> DataFrame:
+    """A row per bin of ``width`` that low..high touches; empty intervals go."""
+    bins = F.sequence(F.floor(_number(df, low) / width), F.floor(_number(df, high) / width))
+    return df.where(F.col(low) <= F.col(high)).withColumn("_bin", F.explode(bins))
+
+
 def range_join(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, width: float, how: str = "inner") -> DataFrame:
     """Points with the intervals for which low <= point <= high.
 
     Both are cut into bins of ``width``, so the join is by equality of bins; the bounds are checked within.
     """
-    n = lambda c: _number(F.col(c))
-    a = points.withColumn("_bin", F.floor(n(point) / width))
-    b = intervals.where(F.col(low) <= F.col(high)).withColumn("_bin", F.explode(F.sequence(F.floor(n(low) / width), F.floor(n(high) / width))))
+    a = points.withColumn("_bin", F.floor(_number(points, point) / width))
+    b = _binned(intervals, low, high, width)
     on = (a["_bin"] == b["_bin"]) & (F.col(point) >= F.col(low)) & (F.col(point) <= F.col(high))
     out = a.join(b, on, how)
     return out.drop(a["_bin"]) if how in ("left_semi", "left_anti") else out.drop("_bin")
@@ -83,10 +89,8 @@ def range_join(points: DataFrame, intervals: DataFrame, point: str, low: str, hi
 
 def overlap_join(a: DataFrame, b: DataFrame, a_low: str, a_high: str, b_low: str, b_high: str, width: float) -> DataFrame:
     """Pairs of intervals that overlap (two range predicates).  A pair is made in the bin where the later one begins."""
-    n = lambda c: _number(F.col(c))
-    binned = lambda df, lo, hi: df.where(F.col(lo) <= F.col(hi)).withColumn("_bin", F.explode(F.sequence(F.floor(n(lo) / width), F.floor(n(hi) / width))))
-    x, y = binned(a, a_low, a_high), binned(b, b_low, b_high)
-    first = F.floor(F.greatest(n(a_low), n(b_low)) / width)
+    x, y = _binned(a, a_low, a_high, width), _binned(b, b_low, b_high, width)
+    first = F.floor(F.greatest(_number(a, a_low), _number(b, b_low)) / width)
     on = (x["_bin"] == y["_bin"]) & (F.col(a_low) <= F.col(b_high)) & (F.col(b_low) <= F.col(a_high)) & (x["_bin"] == first)
     return x.join(y, on).drop("_bin")
 
