@@ -7,13 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import quern.functions.aggregates
-import quern.functions.general
-import quern.functions.nested
-import quern.functions.numeric
-import quern.functions.temporal
-import quern.functions.text  # noqa: F401
-from quern.functions.registry import call as f
+from quern.functions import call as f
 from quern.session import table
 
 Case = tuple[str, Callable[[], object], str]
