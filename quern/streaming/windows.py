@@ -49,6 +49,13 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def run_to_folder(df: DataFrame, path: str) -> DataFrame:
+    """Runs a stream over all that is there in complete mode; each batch's whole result replaces the last at ``path``."""
+    q = df.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return df.sparkSession.read.parquet(path)
+
+
 def chunks(df: DataFrame, rows: int) -> Iterator[list]:
     """A result in lists of ``rows`` rows, one partition at a time in the driver."""
     out = []

@@ -3,9 +3,9 @@
 import compare
 import pytest
 
-from quern.plans import function_cases, operator_queries, sql_queries
+from quern.plans import function_cases, io_queries, operator_queries, sql_queries
 
-SETS = (sql_queries, operator_queries, function_cases)
+SETS = (sql_queries, operator_queries, io_queries, function_cases)
 QUERIES = {n: (m.QUERIES[n], m.ORACLE_SQL[n]) for m in SETS for n in m.QUERIES if n in m.ORACLE_SQL}
 
 
