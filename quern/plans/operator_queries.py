@@ -153,19 +153,26 @@ def window_groups(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "s")
 
 
-@query("SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE CURRENT ROW) AS s FROM lineitem")
+_SOLD = "(SELECT l_suppkey, l_orderkey, sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey, l_orderkey)"
+
+
+def _sold(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey").agg(F.sum("l_quantity").alias("q"))
+
+
+@query(f"SELECT l_suppkey, l_orderkey, sum(q) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE CURRENT ROW) AS s FROM {_SOLD}")
 def window_exclude_row(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", windows.exclude("l_quantity", ["l_suppkey"], "l_extendedprice", -2, 2, "CURRENT ROW").alias("s"))
+    return _sold(spark, sf_dir).select("l_suppkey", "l_orderkey", windows.exclude("q", ["l_suppkey"], "l_orderkey", -2, 2, "CURRENT ROW").alias("s"))
 
 
-@query("SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE GROUP) AS s FROM lineitem")
+@query(f"SELECT l_suppkey, l_orderkey, sum(q) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE GROUP) AS s FROM {_SOLD}")
 def window_exclude_group(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", windows.exclude("l_quantity", ["l_suppkey"], "l_extendedprice", -2, 2, "GROUP").alias("s"))
+    return _sold(spark, sf_dir).select("l_suppkey", "l_orderkey", windows.exclude("q", ["l_suppkey"], "l_orderkey", -2, 2, "GROUP").alias("s"))
 
 
-@query("SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE TIES) AS s FROM lineitem")
+@query(f"SELECT l_suppkey, l_orderkey, sum(q) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE TIES) AS s FROM {_SOLD}")
 def window_exclude_ties(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", windows.exclude("l_quantity", ["l_suppkey"], "l_extendedprice", -2, 2, "TIES").alias("s"))
+    return _sold(spark, sf_dir).select("l_suppkey", "l_orderkey", windows.exclude("q", ["l_suppkey"], "l_orderkey", -2, 2, "TIES").alias("s"))
 
 
 @query("""
