@@ -8,6 +8,7 @@ block by itself; where a block begins comes from the numbers of ids of those bef
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -24,8 +25,8 @@ from quern.llm.common import SLICE, ensure_checkpoint_dir
 
 #: Ids from which a block is closed.
 BLOCK_IDS = coder.LANES * coder.STEPS
-#: Words that a worker remembers.
-REMEMBERED = 400_000
+#: Words that a worker remembers; words that the tokenizer gets as one text.
+REMEMBERED, TOGETHER = 400_000, 128
 #: White space to Python alone.
 ODD = re.compile("[\x1c-\x1f]")
 NO_ID = -(1 << 63)
@@ -41,6 +42,7 @@ class WordTokenizer:
     TAIL = frozenset(".,;:!?")
 
     def __init__(self, file: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
@@ -50,8 +52,15 @@ class WordTokenizer:
         known, tail = self.known, self.TAIL
         stems = {w[:-1] if len(w) > 1 and w[-1] in tail and w[-2].lower().isalpha() else w for w in words} | tail
         missing = [w for w in stems if w not in known]
-        for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, np.int32).tobytes()
+        parts = [missing[at : at + TOGETHER] for at in range(0, len(missing), TOGETHER)]
+        for part, e in zip(parts, self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.int32)
+            # A word's tokens are those that start before its end; words and tokens are both in order.
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            upto = np.searchsorted(np.fromiter((start for start, _ in e.offsets), np.int64, len(ids)), ends, "left").tolist()
+            raw, low = ids.tobytes(), 0
+            for w, high in zip(part, upto, strict=True):
+                known[w], low = raw[4 * low : 4 * high], high
         for w in words:
             if w not in known:
                 known[w] = known[w[:-1]] + known[w[-1]]
