@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_arrow
+from quern.llm.common import checkpointed, map_arrow
 
 #: Most labelled documents per language that a model is fitted on.
 SAMPLE = 2_000
@@ -127,12 +127,21 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the rows with a language, a text and an id that are not held out, ``sample`` a language at most."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = rows.select("doc_id", "lang").withColumn("_rank", rank).where(F.col("_rank") <= sample).select("doc_id").distinct()
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).withColumn("_bucket", F.shiftright("_hash", 48))
+    # A language may have most rows: counts of 2^16 ranges of hashes tell where its sample ends, and no more is ranked.
+    counts = hashed.groupBy("lang", "_bucket").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("_bucket")) - F.col("n")
+    cuts = counts.withColumn("_before", before).where(F.col("_before") < sample).groupBy(F.col("lang").alias("_lang")).agg(F.max("_bucket").alias("_cut"))
+    cuts = checkpointed(cuts)
+    if cuts.count() <= 100_000:  # a row a language
+        cuts = F.broadcast(cuts)
+    near = hashed.join(cuts, (F.col("lang") == F.col("_lang")) & (F.col("_bucket") <= F.col("_cut")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "doc_id"))
+    ids = checkpointed(near.select("doc_id", "lang", "_hash").withColumn("_rank", rank).where(F.col("_rank") <= sample).select("doc_id").distinct())
     if ids.count() <= 100_000:  # beyond it (many languages) Spark joins by a shuffle
         ids = F.broadcast(ids)
     texts = rows.select("doc_id", F.col("lang").cast("string"), "text").join(ids, "doc_id", "left_semi").select("lang", "text")
-    grams = texts.coalesce(8).mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = texts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     most = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     found = grams.withColumn("_rank", most).where(F.col("_rank") <= GRAMS).select("lang", "gram", "n").toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
