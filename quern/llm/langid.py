@@ -127,8 +127,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the rows with a language, a text and an id that are not held out, ``sample`` a language at most."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).withColumn("_bucket", F.shiftright("_hash", 48))
-    # A language may have most rows: counts of 2^16 ranges of hashes tell where its sample ends, and no more is ranked.
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).withColumn("_bucket", F.shiftright("_hash", 52))
+    # A language may have most rows: counts of 2^12 ranges of hashes tell where its sample ends, and no more is ranked.
     counts = hashed.groupBy("lang", "_bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("_bucket")) - F.col("n")
     cuts = counts.withColumn("_before", before).where(F.col("_before") < sample).groupBy(F.col("lang").alias("_lang")).agg(F.max("_bucket").alias("_cut"))
