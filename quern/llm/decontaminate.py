@@ -1,9 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds join texts to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds join texts to test items, Smith-Waterman alignment scores them.
 
-The word n-grams of the test items are counted over all documents.  An item's seeds are its n-grams found in
-no more documents than RARE of all, and in any case its rarer half, so that an item that leaked everywhere
-still has seeds.  Where a text holds a seed, the stretch around it is aligned with the item, word by word;
-the score is the local alignment's, as a share of what the whole item against itself would get.
+All word n-grams of a test item are its seeds, however many documents hold them: an n-gram's count says how
+often the item leaked as much as how common its words are.  Where a text holds a seed, the stretch around it
+is aligned with the item, word by word; the score is the local alignment's, as a share of what the whole item
+against itself would get.  The stretch is as long as the score LEAST leaves room for gaps, and is left out
+only where the item's words that it holds, matched in any order, can't reach that score.
 
 Test items go to the tasks in blocks of at most BLOCK_WORDS words; a larger benchmark takes more scans.
 """
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import map_arrow
 
-#: Words of a seed; share of documents up to which an n-gram is rare.
-N, RARE = 3, 1e-4
+#: Words of a seed.
+N = 3
 #: Alignment: match, mismatch, gap.  Share of the full score from which a text is contaminated.
 MATCH, MISMATCH, GAP, LEAST = 2, -1, -1, 0.6
 BLOCK_WORDS = 2_000_000
@@ -56,9 +57,6 @@ class Items:
         get = self.known.get
         return np.array([get(w, 0) for w in WORD.findall((text or "").lower())], np.int64)
 
-    def only(self, keep: np.ndarray) -> Items:
-        return Items(self.ids, self.words, self.known, self.grams[keep], self.item[keep], self.at[keep])
-
 
 def _grams(words: np.ndarray, size: int) -> np.ndarray:
     """Each n-gram as a number; -1 where it has a word of no item.  size: words known, and one."""
@@ -95,8 +93,15 @@ def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def matches(text: str | None, items: Items) -> list[tuple[int, float, int, int]]:
-    """(item, score, first word, word after the last) of each item whose seeds the text holds, at its best place."""
+def _in_common(text: np.ndarray, item: np.ndarray) -> int:
+    """Words of the item that the text holds, each as often as it does; no alignment matches more."""
+    own, counts = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(own, text), len(own) - 1)
+    return int(np.minimum(np.bincount(at[own[at] == text], minlength=len(own)), counts).sum())
+
+
+def matches(text: str | None, items: Items, least: float = LEAST) -> list[tuple[int, float, int, int]]:
+    """(item, score, first word, word after the last) of each item that the text holds with ``least`` or more, at its best place."""
     words = items.number(text)
     grams = _grams(words, len(items.known) + 1)
     places = np.nonzero(grams >= 0)[0]
@@ -115,11 +120,14 @@ def matches(text: str | None, items: Items) -> list[tuple[int, float, int, int]]
     for begin, end in zip(np.nonzero(new)[0], [*np.nonzero(new)[0][1:], len(item)], strict=True):
         k = int(item[begin])
         size = len(items.words[k])
-        a = max(0, int(origin[begin]) - size // 2)
-        b = min(len(words), int(origin[end - 1]) + size + size // 2)
+        room = int(MATCH * (1 - least) * size / -GAP) + 1  # more gaps take the score below least
+        a = max(0, int(origin[begin]) - room)
+        b = min(len(words), int(origin[end - 1]) + size + room)
+        if _in_common(words[a:b], items.words[k]) / size < least:
+            continue
         score, first, last = align(words[a:b], items.words[k])
         share = score / (MATCH * size)
-        if k not in out or share > out[k][1]:
+        if share >= least and (k not in out or share > out[k][1]):
             out[k] = (items.ids[k], share, a + first, a + last)
     return list(out.values())
 
@@ -140,29 +148,6 @@ def _blocks(benchmark: DataFrame) -> list[Items]:
     return [Items.of(b) for b in blocks if b]
 
 
-def seeds(docs: DataFrame, items: Items) -> Items:
-    """The items with their seeds only, after counting their n-grams over all of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, size = shared.value, len(shared.value.known) + 1
-        unique = np.unique(own.grams)
-        found = [np.unique(g[g >= 0]) for g in (_grams(own.number(t), size) for t in batch.column(0).to_pylist())]
-        all_ = np.concatenate([np.zeros(0, np.int64), *found])
-        grams, n = np.unique(all_[np.isin(all_, unique)], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(np.append(grams, -1)), pa.array(np.append(n, batch.num_rows))], ["gram", "n"])
-
-    rows = map_arrow(docs.select(F.col("text").cast("string")), count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    counted = dict(zip(rows.column("gram").to_pylist(), rows.column("n").to_pylist(), strict=True))  # the block's n-grams at most
-    often = np.array([counted.get(g, 0) for g in items.grams.tolist()], np.int64)
-    keep = often <= RARE * counted.get(-1, 0)
-    for k in range(len(items.ids)):
-        own = items.item == k
-        if own.any():
-            keep |= own & (often <= np.median(often[own]))
-    return items.only(keep)
-
-
 def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word): a row per text and test item that it holds, edited or not.
 
@@ -173,10 +158,10 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFra
     schema = f"doc_id {kind}, item_id long, score double, first_word long, last_word long"
     out = docs.sparkSession.createDataFrame([], schema)
     for items in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(seeds(docs, items))
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def search(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch | None:
-            found = [(i, m) for i, t in enumerate(batch.column(1).to_pylist()) for m in matches(t, shared.value) if m[1] >= least]
+            found = [(i, m) for i, t in enumerate(batch.column(1).to_pylist()) for m in matches(t, shared.value, least)]
             if not found:
                 return None
             which, rows = zip(*found, strict=True)
@@ -193,11 +178,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAS
     names = [f"_doc_{i}" for i in range(len(docs.columns))]
     out = docs
     for items in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(seeds(docs, items))
+        shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def clean(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             own = shared.value
-            return batch.filter(pa.array([all(m[1] < least for m in matches(t, own)) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.bool_()))
+            return batch.filter(pa.array([not matches(t, own, least) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.bool_()))
 
         given = out.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("text").cast("string").alias("_text"))
         kept = map_arrow(given, clean, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema))
