@@ -30,13 +30,13 @@ TEXTS: dict[str, str] = {
     "join_inner": "SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'",
     "join_left": "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 300000",
     "join_right": "SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON c_custkey = o_custkey AND o_totalprice > 300000",
-    "join_full": "SELECT s_suppkey, c_custkey FROM supplier FULL OUTER JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) c ON s_suppkey = c_custkey",
+    "join_full": "SELECT s_suppkey, c_custkey FROM supplier FULL OUTER JOIN customer ON s_suppkey = c_custkey AND c_mktsegment = 'BUILDING'",
     "join_semi": "SELECT c_custkey FROM customer LEFT SEMI JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'F'",
     "join_anti": "SELECT c_custkey FROM customer LEFT ANTI JOIN orders ON c_custkey = o_custkey",
     "join_cross": "SELECT r_name, n_name FROM region CROSS JOIN nation",
     "join_using": "SELECT l_orderkey, count(*) AS n FROM (SELECT l_orderkey, l_partkey FROM lineitem) a JOIN (SELECT o_orderkey AS l_orderkey FROM orders WHERE o_orderstatus = 'P') b USING (l_orderkey) GROUP BY l_orderkey",
     "join_natural": "SELECT * FROM (SELECT n_regionkey AS k, n_name FROM nation) a NATURAL JOIN (SELECT r_regionkey AS k, r_name FROM region) b",
-    "join_null_safe": "SELECT a.x AS x, b.y AS y FROM (SELECT NULLIF(p_size, 1) AS x FROM part WHERE p_partkey < 60) a JOIN (SELECT DISTINCT NULLIF(p_size, 2) AS y FROM part WHERE p_partkey < 60) b ON a.x IS NOT DISTINCT FROM b.y",
+    "join_null_safe": "SELECT a.x AS x, b.y AS y FROM (SELECT NULLIF(p_size, 1) AS x FROM part) a JOIN (SELECT DISTINCT NULLIF(p_size, 2) AS y FROM part) b ON a.x IS NOT DISTINCT FROM b.y",
     "join_theta": "SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_acctbal > n_nationkey * 400 AND s_nationkey < n_nationkey",
     "join_lateral": "SELECT c_custkey, t.o_orderkey, t.o_totalprice FROM customer, LATERAL (SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = c_custkey ORDER BY o_totalprice DESC, o_orderkey LIMIT 1) t",
     # subqueries and CTEs
@@ -69,7 +69,7 @@ TEXTS: dict[str, str] = {
     "union_distinct": "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier",
     "intersect": "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier",
     "intersect_all": "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier",
-    "except": "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey < 20",
+    "except": "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier GROUP BY s_nationkey HAVING avg(s_acctbal) > 4500",
     "except_all": "SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier",
     # reports
     "q1_pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_base_price, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS sum_disc_price, CAST(sum(CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DECIMAL(24,6))) AS DOUBLE) AS sum_charge, round(avg(l_quantity), 4) AS avg_qty, round(avg(l_extendedprice), 2) AS avg_price, round(avg(l_discount), 2) AS avg_disc, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY l_returnflag, l_linestatus",
