@@ -1,10 +1,14 @@
 """Adaptive context-mixing range coder for token ids, in independently reset, checksummed blocks.
 
 A block's ids are dealt to lanes (contiguous stretches) that are coded side by side, one id of each lane a step,
-under one model that starts empty and learns after every step from all lanes.  Orders 1 and 2 predict the id
-that last followed the last one or two ids; order 0 is the distribution of ids so far.  How far each order is
-trusted is learned per state (how often the predictions came true of late, and whether they agree): an id is
-coded as "order 2 is right", "order 1 is right", or by order 0.
+under one model that starts empty and learns after every step from all lanes.  Three predictions are mixed into
+one distribution over all ids, and an id is coded in one step under it:
+
+* order 0: how often each id has come so far in the block;
+* orders 1 and 2: the id that the last one or two ids lead to, all of its mass on that id.
+
+The weights of the mixture are learned, per state of the predictions: how often each of the two has held of late,
+and whether they agree.
 
 A block: MAGIC, version, ids, lanes, documents, largest id + 1 (32-bit little endian each), CRC-32 of the ids and of
 what follows; then per document its id (64 bits) and number of ids (32), per lane its number of 16-bit words (32),
@@ -18,16 +22,22 @@ import zlib
 
 import numpy as np
 
-MAGIC, VERSION = b"QIDS", 1
+MAGIC, VERSION = b"QIDS", 2
 HEAD = struct.Struct("<4s6I")
 CRC = struct.Struct("<I")
-#: Ids of a lane, and most lanes of a block; bits of the order-2 table; steps between sums of order 0.
-STEPS, LANES, TABLE_BITS, REFRESH = 256, 2048, 20, 8
-TOP, BOTTOM, WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
-HIGH = np.uint64(48)
-_LOW = np.uint64((1 << 32) - 1)
-BRANCH = 1 << 16
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Least ids of a lane, and most lanes of a block (a longer block has longer lanes); bits of the order-2 table.
+STEPS, LANES, TABLE_BITS = 64, 4096, 18
+#: Steps between sums of order 0, and from one step that the weights are learned from to the next (every one at first).
+REFRESH, REWEIGH = 64, 4
+#: Bits of the coder's range (whole numbers that a double holds), of a word, of the mixed distribution, and of order 0
+#: in it (the rest are the weights').
+RANGE_BITS, WORD_BITS, TOTAL_BITS, ZERO_BITS = 48, 16, 30, 19
+HIGH_BITS = RANGE_BITS - WORD_BITS
+_RANGE, _LEAST, _TOTAL = (1 << RANGE_BITS) - 1, 1 << HIGH_BITS, np.int32((1 << TOTAL_BITS) - 1)
+SURE, SURE_BITS = 3, 2
+#: First row of ``came`` for what was right: neither, order 1, order 2, both.
+_EVENT = np.array([64, 32, 0, 0])
+_MIX_LAST, _MIX_BEFORE = np.uint32(2654435761), np.uint32(2246822507)
 
 
 class BlockError(ValueError):
@@ -38,45 +48,82 @@ class Model:
     """What a block's coder has learned so far; the same on both sides."""
 
     def __init__(self, size: int, lanes: int) -> None:
-        self.two, self.two_sure = np.zeros(1 << TABLE_BITS, np.int32), np.zeros(1 << TABLE_BITS, np.int8)
-        self.one, self.one_sure = np.zeros(size, np.int32), np.zeros(size, np.int8)
-        self.counts = np.tile(np.array([2, 2, 4], np.int64), (32, 1))
-        self.zero = np.ones(size, np.int64)
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.zero_bits = max(ZERO_BITS, size.bit_length() + 2)
+        if self.zero_bits > TOTAL_BITS - 4:
+            raise ValueError(f"ids up to {size - 1} are too large")
+        self.weight = 1 << (TOTAL_BITS - self.zero_bits)
+        #: An order's guess: the id, and in the low bits how sure it is.
+        self.two, self.one = np.zeros(1 << TABLE_BITS, np.int32), np.zeros(size, np.int32)
+        #: Per state: how often order 2 was right, order 1 alone was, and neither.
+        self.came = np.tile(np.array([[2], [2], [4]], np.int64), 32)
+        self.counts, self.fresh = np.zeros(size, np.int64), []
+        self.last = np.zeros(lanes, np.intp)
+        self.key, self.key_before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
         self.steps = 0
         self._sum()
 
     def _sum(self) -> None:
-        self.below = np.concatenate(([0], np.cumsum(self.zero)))
-        self.total = np.uint64(self.below[-1])
+        """Order 0 from the counts: widths of at least 1 that add up to 2 ** zero_bits."""
+        if self.fresh:
+            self.counts += np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
+            self.fresh = []
+        whole = 1 << self.zero_bits
+        self.wide = 1 + (self.counts * ((whole - len(self.counts)) / max(1, self.counts.sum()))).astype(np.int64)
+        self.wide[self.wide.argmax()] += whole - self.wide.sum()
+        self.below = (np.cumsum(self.wide) - self.wide).astype(np.int32)
+        self.wide = self.wide.astype(np.int32)
+        self.slots = None
 
     def predict(self) -> None:
-        """Sets each lane's predictions and the widths of orders 2 and 1."""
-        key = (self.last.astype(np.uint64) << np.uint64(20)) + self.before.astype(np.uint64)
-        self.at = ((key * _MIX) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        self.by_two, self.sure_two = self.two[self.at], self.two_sure[self.at]
-        self.by_one, self.sure_one = self.one[self.last], self.one_sure[self.last]
-        self.state = (self.sure_two * 4 + self.sure_one) * 2 + (self.by_two == self.by_one)
-        whole = self.counts.sum(axis=1)
-        width = 1 + (self.counts[:, :2] * (BRANCH - 3)) // whole[:, None]
-        self.width_two, self.width_one = width[self.state, 0], width[self.state, 1]
-
-    def learn(self, ids: np.ndarray, branch: np.ndarray) -> None:
-        """branch: 0 where order 2 was right, 1 where order 1 was, else 2."""
-        right = self.by_two == ids
-        self.two[self.at] = ids
-        self.two_sure[self.at] = np.where(right & (self.sure_two > 0), np.minimum(self.sure_two + 1, 3), 1)
-        right = self.by_one == ids
-        self.one[self.last] = ids
-        self.one_sure[self.last] = np.where(right & (self.sure_one > 0), np.minimum(self.sure_one + 1, 3), 1)
-        self.counts += 4 * np.bincount(self.state * 3 + branch, minlength=96).reshape(32, 3)
-        if self.counts.max() > 1 << 20:
-            self.counts = (self.counts + 1) // 2
-        np.add.at(self.zero, ids, 32)
+        """Sets each lane's guesses and weights."""
+        self.at = ((self.key * _MIX_LAST + self.key_before * _MIX_BEFORE) >> (32 - TABLE_BITS)).astype(np.intp)
+        guess_two, guess_one = self.two[self.at], self.one[self.last]
+        self.by_two, self.by_one = guess_two >> SURE_BITS, guess_one >> SURE_BITS
+        self.sure_two, self.sure_one = guess_two & SURE, guess_one & SURE
+        state = (self.sure_two << 3) + (self.sure_one << 1) + (self.by_two == self.by_one)
+        self.state = state.astype(np.intp)
+        self.weigh = self.steps < REFRESH or self.steps % REWEIGH == 0
+        if self.weigh:
+            shares = 1 + self.came[:2] * (self.weight - 3) // self.came.sum(axis=0)
+            self.of_two, self.of_one = (shares << self.zero_bits).astype(np.int32)
+            self.of_zero = (self.weight - shares.sum(axis=0)).astype(np.int32)
+        self.mass_two, self.mass_one, self.weight_zero = self.of_two[self.state], self.of_one[self.state], self.of_zero[self.state]
+
+    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each lane's id lies in the mixed distribution: start and width."""
+        small = self.small = ids.astype(np.int32)
+        self.right_two, self.right_one = self.by_two == small, self.by_one == small
+        start = self.weight_zero * self.below[ids] + self.mass_two * (self.by_two < small) + self.mass_one * (self.by_one < small)
+        return start, self.weight_zero * self.wide[ids] + self.mass_two * self.right_two + self.mass_one * self.right_one
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The ids in whose intervals the values lie."""
+        if self.slots is None:
+            self.slots = np.repeat(np.arange(len(self.wide)), self.wide)
+        a, b = np.minimum(self.by_two, self.by_one), np.maximum(self.by_two, self.by_one)
+        mass_a = self.mass_two + (self.by_one < self.by_two) * (self.mass_one - self.mass_two)
+        mass_b = self.mass_two + self.mass_one - mass_a
+        # Take off what the value lies beyond of each guess's mass, so that order 0 is left.
+        rest = value - self.weight_zero * self.below[b] - mass_a
+        over_b = np.minimum(np.maximum(rest, 0), mass_b)
+        over_a = np.minimum(np.maximum(value - self.weight_zero * self.below[a], 0), mass_a)
+        return self.slots[((value - over_a - over_b) / self.weight_zero).astype(np.intp)]
+
+    def learn(self, ids: np.ndarray) -> None:
+        if self.weigh:
+            event = _EVENT[2 * self.right_two + self.right_one]
+            self.came += np.bincount(event + self.state, minlength=96).reshape(3, 32)
+            if self.came.max() > 1 << 20:
+                self.came = (self.came + 1) // 2
+        new = (self.small << SURE_BITS) + 1  # a guess that was right is surer than before, up to SURE
+        self.two[self.at] = new + self.right_two * np.minimum(self.sure_two, SURE - 1)
+        self.one[self.last] = new + self.right_one * np.minimum(self.sure_one, SURE - 1)
+        self.fresh.append(ids)
         self.steps += 1
-        if self.steps % REFRESH == 0 or self.steps < REFRESH:
+        if self.steps % REFRESH == 0 or (self.steps < REFRESH and self.steps & (self.steps - 1) == 0):
             self._sum()
-        self.before, self.last = self.last, ids
+        self.last = ids
+        self.key_before, self.key = self.key, ids.astype(np.uint32)
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -85,115 +132,81 @@ def _shape(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def _carry(out: np.ndarray, at: np.ndarray, lanes: int) -> None:
+    """Adds one to the words of the same lanes before ``at``, and on to those before them."""
+    while len(at):
+        at = at - lanes
+        out[at] += 1
+        at = at[out[at] == 0]
+
+
 def encode_ids(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """16-bit words of all lanes, one lane after another, and the lanes' numbers of words."""
     lanes, steps = _shape(len(ids))
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    out, used = np.zeros((lanes, steps * 3 + 8), np.uint16), np.zeros(lanes, np.int64)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
-
-    def settle(which: np.ndarray | None) -> None:
-        """Writes out the words that are certain."""
-        lo, wi = (low, width) if which is None else (low[which], width[which])
-        while True:
-            fixed = (lo ^ (lo + wi)) < TOP
-            tight = ~fixed & (wi < BOTTOM)
-            if tight.any():
-                wi[tight] = (~lo[tight] + np.uint64(1)) & _LOW
-                fixed |= tight
-            some = np.nonzero(fixed)[0]
-            if not len(some):
-                break
-            lane = some if which is None else which[some]
-            out[lane, used[lane]] = lo[some] >> HIGH
-            used[lane] += 1
-            lo[some] <<= WORD
-            wi[some] <<= WORD
-        if which is not None:
-            low[which], width[which] = lo, wi
-
+    room = steps * 2 + 4  # TOTAL_BITS a step at most
+    out, lane = np.zeros(room * lanes, np.uint16), np.arange(lanes)  # a row has a word of each lane
+    place = lane.copy()
+    low, width = np.zeros(lanes, np.int64), np.full(lanes, 1 << RANGE_BITS)
     model = Model(size, lanes)
-    for now in grid:
+    for row in grid:
+        now = row.astype(np.intp)
         model.predict()
-        branch = np.where((model.by_two == now) & (model.sure_two > 0), 0, np.where((model.by_one == now) & (model.sure_one > 0), 1, 2))
-        w2, w1 = model.width_two, model.width_one
-        start = np.where(branch == 0, 0, np.where(branch == 1, w2, w2 + w1))
-        span = np.where(branch == 0, w2, np.where(branch == 1, w1, BRANCH - w2 - w1))
-        unit = width >> WORD
-        low += unit * start.astype(np.uint64)
-        width = unit * span.astype(np.uint64)
-        settle(None)
-        rest = np.nonzero(branch == 2)[0]
-        if len(rest):
-            unit = width[rest] // model.total
-            low[rest] += unit * model.below[now[rest]].astype(np.uint64)
-            width[rest] = unit * (model.below[now[rest] + 1] - model.below[now[rest]]).astype(np.uint64)
-            settle(rest)
-        model.learn(now, branch)
-    for _ in range(4):
-        out[np.arange(lanes), used] = low >> HIGH
-        used += 1
-        low <<= WORD
-    return out[np.arange(out.shape[1])[None, :] < used[:, None]], used
+        start, span = model.interval(now)
+        unit = width >> TOTAL_BITS
+        low += unit * start
+        over = np.nonzero(low > _RANGE)[0]
+        if len(over):
+            _carry(out, place[over], lanes)
+            low[over] &= _RANGE
+        width = unit * span
+        while len(short := np.nonzero(width < _LEAST)[0]):
+            out[place[short]] = low[short] >> HIGH_BITS
+            many = width < _LEAST
+            place += many * lanes
+            shift = many * WORD_BITS
+            low = (low << shift) & _RANGE
+            width <<= shift
+        model.learn(now)
+    last = low + (_LEAST - 1)  # one word names a number in what is left of the range
+    _carry(out, place[last > _RANGE], lanes)
+    out[place] = (last & _RANGE) >> HIGH_BITS
+    used = place // lanes + 1
+    return out.reshape(room, lanes).T[np.arange(room)[None, :] < used[:, None]], used
 
 
 def decode_ids(words: np.ndarray, used: np.ndarray, n: int, size: int) -> np.ndarray:
     """The n ids that encode_ids() was given."""
     lanes, steps = _shape(n)
-    ends = np.cumsum(used)
-    at = ends - used
-    words = np.concatenate((words, np.zeros(8, np.uint16))).astype(np.uint64)
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = (code << WORD) | words[at]
-        at += 1
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
-
-    def settle(which: np.ndarray | None) -> None:
-        lo, wi, co = (low, width, code) if which is None else (low[which], width[which], code[which])
-        while True:
-            fixed = (lo ^ (lo + wi)) < TOP
-            tight = ~fixed & (wi < BOTTOM)
-            if tight.any():
-                wi[tight] = (~lo[tight] + np.uint64(1)) & _LOW
-                fixed |= tight
-            some = np.nonzero(fixed)[0]
-            if not len(some):
-                break
-            lane = some if which is None else which[some]
-            co[some] = (co[some] << WORD) | words[np.minimum(at[lane], len(words) - 1)]
-            at[lane] += 1
-            lo[some] <<= WORD
-            wi[some] <<= WORD
-        if which is not None:
-            low[which], width[which], code[which] = lo, wi, co
-
-    model, grid = Model(size, lanes), np.zeros((steps, lanes), np.int64)
-    for step in range(steps):
+    room = int(used.max()) + 4
+    padded = np.zeros((lanes, room), np.uint16)
+    padded[np.arange(room)[None, :] < used[:, None]] = words
+    padded = padded.T.ravel()  # a row has a word of each lane
+    place = np.arange(lanes)
+    beyond = np.zeros(lanes, np.int64)
+    for _ in range(RANGE_BITS // WORD_BITS):  # how far the number lies beyond the low end of the range
+        beyond = (beyond << WORD_BITS) | padded[place]
+        place += lanes
+    width = np.full(lanes, 1 << RANGE_BITS)
+    model, grid = Model(size, lanes), np.zeros((steps, lanes), np.int32)
+    for row in grid:
         model.predict()
-        w2, w1 = model.width_two, model.width_one
-        unit = width >> WORD
-        value = np.minimum((code - low) // unit, np.uint64(BRANCH - 1)).astype(np.int64)
-        branch = np.where(value < w2, 0, np.where(value < w2 + w1, 1, 2))
-        start = np.where(branch == 0, 0, np.where(branch == 1, w2, w2 + w1))
-        span = np.where(branch == 0, w2, np.where(branch == 1, w1, BRANCH - w2 - w1))
-        low += unit * start.astype(np.uint64)
-        width = unit * span.astype(np.uint64)
-        settle(None)
-        now = np.where(branch == 0, model.by_two, model.by_one).astype(np.int64)
-        rest = np.nonzero(branch == 2)[0]
-        if len(rest):
-            unit = width[rest] // model.total
-            value = np.minimum((code[rest] - low[rest]) // unit, model.total - np.uint64(1)).astype(np.int64)
-            found = np.searchsorted(model.below, value, "right") - 1
-            now[rest] = found
-            low[rest] += unit * model.below[found].astype(np.uint64)
-            width[rest] = unit * (model.below[found + 1] - model.below[found]).astype(np.uint64)
-            settle(rest)
-        model.learn(now, branch)
-        grid[step] = now
+        unit = width >> TOTAL_BITS
+        # Exact: the quotient's fraction is 0 or at least 1 / unit, more than a double rounds off.
+        value = np.minimum((beyond / unit).astype(np.int32), _TOTAL)
+        now = model.find(value)
+        start, span = model.interval(now)
+        row[:] = now
+        beyond -= unit * start
+        width = unit * span
+        while (many := width < _LEAST).any():
+            shift = many * WORD_BITS
+            beyond = (beyond << shift) | (padded[place] * many)
+            place += many * lanes
+            width <<= shift
+        model.learn(now)
     return grid.T.ravel()[:n]
 
 

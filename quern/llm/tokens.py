@@ -9,7 +9,6 @@ block by itself; where a block begins comes from the numbers of ids of those bef
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -21,61 +20,193 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm import coder
-from quern.llm.common import SLICE, ensure_checkpoint_dir
+from quern.llm.common import SLICE, ensure_checkpoint_dir, ragged
+from quern.llm.substrings import _BASE, _INVERSE, _powers
 
 #: Ids from which a block is closed.
-BLOCK_IDS = coder.LANES * coder.STEPS
-#: Words that a worker remembers; words that the tokenizer gets as one text.
-REMEMBERED, TOGETHER = 400_000, 128
+BLOCK_IDS = coder.LANES * 512
+#: Units that a worker remembers of late (as many again from before); units that the tokenizer gets as one text;
+#: characters that are encoded at once; longest unit that is known by its hashes.
+REMEMBERED, TOGETHER, CHARACTERS, LONGEST = 300_000, 128, 2_000_000, 64
 #: White space to Python alone.
-ODD = re.compile("[\x1c-\x1f]")
+ODD = "\x1c\x1d\x1e\x1f"
 NO_ID = -(1 << 63)
 BLOCKS = "range int, number int, n_docs long, n_ids long, block binary"
 
 
+SPACE, LETTER, DIGIT, OTHER, STRANGE = range(5)
+#: Code points that are told apart; all above, and some below, are strange.
+LIMIT = 0x2060
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of each code point up to LIMIT.
+
+    Letters are Latin ones whose lower case and composition are the character's own affair.  An apostrophe is strange,
+    since it may begin a contraction.
+    """
+    kind, lower = np.full(LIMIT + 1, STRANGE, np.uint8), np.arange(LIMIT + 1)
+    kind[[*b" \t\n\r\x0b\x0c"]] = SPACE
+    for c in [*range(0x21, 0x7F), 0xD7, 0xF7, *range(0x2010, 0x2028), *range(0x2030, 0x205F)]:
+        kind[c] = OTHER
+    for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x130), *range(0x131, 0x234)]:
+        kind[c], lower[c] = LETTER, ord(chr(c).lower())
+    kind[0x30:0x3A] = DIGIT
+    kind[0x27] = STRANGE
+    return kind, lower
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones themselves, the others from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """A tokenizer that drops white space, applied to each distinct word once.
+    """A tokenizer that drops white space and splits before its merges, applied to each distinct unit once.
 
-    A word that ends in one of TAIL after a letter is tokenized as two: such a tokenizer starts a new token there.
+    A unit is what the tokenizer's splitter makes of plain words: a run of letters, a digit, a run of other signs.  It
+    goes to the library's model as the bytes that the splitter would hand on, and is known by two 64-bit hashes, which
+    are sums over its characters and so come from one pass over a whole batch.  A word with a strange character, or a long one, is a unit
+    as it stands and goes through the whole of the library's tokenizer.  The end of a unit shows in its last token,
+    which alone has END.
     """
 
-    TAIL = frozenset(".,;:!?")
+    END = "</w>"
 
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[str, bytes] = {}
-
-    def _new(self, words: set[str]) -> None:
-        known, tail = self.known, self.TAIL
-        stems = {w[:-1] if len(w) > 1 and w[-1] in tail and w[-2].lower().isalpha() else w for w in words} | tail
-        missing = [w for w in stems if w not in known]
-        parts = [missing[at : at + TOGETHER] for at in range(0, len(missing), TOGETHER)]
-        for part, e in zip(parts, self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole, self.merges = Tokenizer.from_file(file), Tokenizer.from_file(file)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(self.END)]] = True
+        self.special = [*ODD, *(t.content for t in self.whole.get_added_tokens_decoder().values())]
+        self.letters = _byte_letters() | {32: " "}
+        self.kind, self.lower = _kinds()
+        values = np.random.default_rng(42).integers(0, 1 << 64, (2, LIMIT + 1), np.uint64)
+        self.first, self.second = values[0][self.lower], values[1][self.lower]
+        self.powers = self.inverse = np.ones(1, np.uint64)
+        #: By hash: the second hash and the ids, as bytes; strange words by themselves.
+        self.known: dict[int | str, bytes] = {}
+        self.before: dict[int | str, bytes] = {}
+
+    def _units(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of each unit, and whether it stands as it is."""
+        kind = self.kind[np.minimum(codes, LIMIT)]
+        space = kind == SPACE
+        before = np.concatenate(([True], space[:-1]))
+        begin = ~space & (before | (kind == DIGIT) | (np.concatenate(([SPACE], kind[:-1])) != kind))
+        word = ~space & before
+        strange = np.nonzero(kind == STRANGE)[0]
+        if len(strange):
+            words = np.cumsum(word, dtype=np.int32)
+            as_is = np.zeros(int(words[-1]) + 1, bool)
+            as_is[words[strange]] = True
+            begin &= word | ~as_is[words]
+        end = ~space & np.concatenate((space[1:] | begin[1:], [True]))
+        begins, ends = np.nonzero(begin)[0], np.nonzero(end)[0] + 1
+        stands = ends - begins > LONGEST
+        if len(strange):
+            stands |= as_is[words[begins]]
+        return begins, ends, stands
+
+    def _hashes(self, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.powers) <= len(codes):
+            size = 2 * len(codes)
+            self.powers, self.inverse = _powers(_BASE, size), _powers(_INVERSE, size)
+        at = np.minimum(codes, LIMIT)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(self.first[at] * self.powers[: len(codes)], out=sums[1:])
+        one = (sums[ends] - sums[begins]) * self.inverse[begins]
+        np.cumsum(self.second[at], out=sums[1:])
+        return one ^ (one >> np.uint64(29)), sums[ends] - sums[begins]
+
+    def _recall(self, keys: list) -> tuple[list[bytes | None], list[int]]:
+        """What is known of the keys, of late or from before, and the places of those that aren't."""
+        found = list(map(self.known.get, keys))
+        rest = []
+        for i in [i for i, f in enumerate(found) if f is None]:
+            if (old := self.before.get(keys[i])) is None:
+                rest.append(i)
+            else:
+                found[i] = self.known[keys[i]] = old
+        return found, rest
+
+    def _learn(self, keys: list[int], checks: np.ndarray, units: list[str]) -> None:
+        texts = [" ".join(units[at : at + TOGETHER]) for at in range(0, len(units), TOGETHER)]
+        texts = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in texts]
+        own, at, known = checks.tobytes(), 0, self.known
+        for e in self.merges.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.array(e.ids, np.int32)
-            # A word's tokens are those that start before its end; words and tokens are both in order.
-            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            upto = np.searchsorted(np.fromiter((start for start, _ in e.offsets), np.int64, len(ids)), ends, "left").tolist()
             raw, low = ids.tobytes(), 0
-            for w, high in zip(part, upto, strict=True):
-                known[w], low = raw[4 * low : 4 * high], high
-        for w in words:
-            if w not in known:
-                known[w] = known[w[:-1]] + known[w[-1]]
+            for high in ((np.nonzero(self.ends[ids])[0] + 1) * 4).tolist():
+                known[keys[at]] = own[8 * at : 8 * at + 8] + raw[low:high]
+                low, at = high, at + 1
+
+    def _group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = "\n".join(texts) + "\n"
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        begins, ends, stands = self._units(codes)
+        one, two = self._hashes(codes, begins, ends)
+        raw = np.nonzero(stands)[0]
+        one[raw] = 0
+        distinct, which, of = np.unique(one, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        if len(raw):  # strange words get places of their own after the others
+            names = [text[a:b] for a, b in zip(begins[raw].tolist(), ends[raw].tolist(), strict=True)]
+            place: dict[str, int] = {}
+            of[raw] = [place.setdefault(n, len(keys) + len(place)) for n in names]
+            strange = list(place)
+        else:
+            strange = []
+        found, missing = self._recall(keys)
+        rest = np.array(missing, np.int64)
+        rest = rest[~stands[which[rest]]]
+        lower = self.lower
+        spans = zip(begins[which[rest]].tolist(), ends[which[rest]].tolist(), strict=True)
+        low = lower[np.minimum(codes, LIMIT)].astype(np.uint32).tobytes().decode("utf-32-le")
+        self._learn(distinct[rest].tolist(), two[which[rest]], [low[a:b] for a, b in spans])
+        for i in missing:  # the place of strange words stays empty
+            found[i] = self.known.get(keys[i], bytes(8))
+        as_is, missing = self._recall(strange)
+        new = [strange[i] for i in missing]
+        for i, e in zip(missing, self.whole.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            as_is[i] = self.known[strange[i]] = bytes(8) + np.array(e.ids, np.int32).tobytes()
+        found += as_is
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, starts = np.frombuffer(b"".join(found), np.int32), np.cumsum(sizes) - sizes
+        checks = np.stack((flat[starts], flat[starts + 1]), axis=1).view(np.uint64).ravel()
+        if ((checks[of] != two) & ~stands).any():  # two units of one hash
+            whole = [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate(whole), np.array([len(w) for w in whole])
+        counts = sizes[of] - 2
+        ids = flat[ragged(starts[of] + 2, counts)]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        return ids, np.diff(upto[np.searchsorted(begins, np.concatenate(([0], np.cumsum(lengths))))])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        split = [t.split() for t in texts]
-        if missing := {w for words in split for w in words if w not in known}:
-            self._new(missing)
-        out = [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in split]
+        """The ids of each text."""
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(texts):
+            if len(self.known) > REMEMBERED:
+                self.known, self.before = {}, self.known
+            upto, size = at, 0
+            while upto < len(texts) and (upto == at or size + len(texts[upto]) <= CHARACTERS):
+                size += len(texts[upto])
+                upto += 1
+            ids, counts = self._group(texts[at:upto])
+            out += np.split(ids, np.cumsum(counts)[:-1])
+            at = upto
         for i, text in enumerate(texts):
-            if ODD.search(text):
-                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+            if any(c in text for c in self.special):
+                out[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32)
         return out
 
 
@@ -97,13 +228,13 @@ def _blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
         end = np.array([end_id], np.int32)
 
         def close() -> pa.RecordBatch:
-            block = coder.pack(np.array(docs, np.int64), np.array([len(i) for i in ids], np.int64), np.concatenate(ids).astype(np.int64))
+            block = coder.pack(np.array(docs, np.int64), np.array([len(i) for i in ids], np.int64), np.concatenate(ids))
             columns = [pa.array([place], pa.int32()), pa.array([number], pa.int32()), pa.array([len(docs)], pa.int64()), pa.array([total], pa.int64()), pa.array([block], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["range", "number", "n_docs", "n_ids", "block"])
 
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
+            for at in range(0, whole.num_rows, 8 * SLICE):
+                batch = whole.slice(at, 8 * SLICE)
                 for doc, own in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
                     docs.append(doc)
                     ids.append(np.concatenate((own, end)))
