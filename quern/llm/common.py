@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 #: Rows that a task turns into Python objects at a time; bounds the memory of a Python worker.
 SLICE = 256
+#: Ids (eight bytes each) that may be broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Set a checkpoint folder of our own only where the cluster names none (tests)."""
+    """Set a checkpoint folder of our own only in a local session that names none (tests)."""
     if spark.conf.get("spark.checkpoint.dir", None):
         return
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
 
 
@@ -28,6 +32,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_ties(rows: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
+    """``rows`` with a column tie that tells documents of one id apart: a hash of the text where the id (not null) has
+    several texts, else 0.  Rows of the same id and text are one document.  An id of very many texts is a value like any other."""
+    hashed = rows.select(F.col(doc).alias("_tied"), F.xxhash64(text).alias("_hash"))
+    ends = hashed.groupBy("_tied").agg(F.min("_hash").alias("_low"), F.max("_hash").alias("_high"))
+    several = checkpointed(ends.where("_low <> _high").select("_tied"))
+    n = several.count()
+    if not n:
+        return rows.withColumn("tie", F.lit(0).cast("long"))
+    if n <= BROADCAST_IDS:
+        several = F.broadcast(several)
+    joined = rows.join(several, rows[doc] == F.col("_tied"), "left")
+    return joined.withColumn("tie", F.when(F.col("_tied").isNotNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))).drop("_tied")
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``fn`` to slices of at most SLICE rows of each Arrow batch."""
 

@@ -11,7 +11,9 @@ in six starts a suffix.  A suffix is partitioned by a prefix of variable length:
   prefix is a subtree: the sorted suffixes with their common prefix lengths.  An internal node at depth
   20 - l, split by the l words to the left, holds the repeats of a window that starts l words before the anchor.
 * prefixes with more than GROUP spans are lengthened to the whole window; such a group is a single node,
-  whose occurrences Spark sorts.  No group is gathered anywhere.
+  whose occurrences Spark sorts.
+
+A hot span leaves one row per slice of documents; Spark's sort, which spills, orders these.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import SLICE, as_bytes, checkpointed, map_arrow
+from quern.llm.common import SLICE, as_bytes, checkpointed, map_arrow, with_ties
 
 #: Words of a window and of the least prefix; offsets of an anchor in its window.
 WINDOW, PREFIX = 20, 10
@@ -86,37 +88,37 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(prefix, span, doc, code, again) of each anchor.  again: its span starts earlier in the same slice of rows."""
+    """(prefix, span, doc, tie, code, again) of each anchor.  again: its span starts earlier in the same slice of rows."""
     known: dict[bytes, int] = {}
     for whole in batches:
         for at in range(0, whole.num_rows, SLICE):
             batch = whole.slice(at, SLICE)
-            ids, parts = batch.column(0).to_numpy(zero_copy_only=False), []
-            for i, text in enumerate(as_bytes(batch.column(1))):
+            ids, ties, parts = *(batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)), []
+            for i, text in enumerate(as_bytes(batch.column(2))):
                 words = text.split()
                 if len(words) >= WINDOW:
                     prefix, span, start, size, offset = anchors(word_hashes(words, known))
-                    parts.append((prefix, span, np.full(len(start), ids[i]), (start << 8) | (size << 4) | offset))
+                    parts.append((prefix, span, np.full(len(start), ids[i]), np.full(len(start), ties[i]), (start << 8) | (size << 4) | offset))
             if not parts:
                 continue
-            prefix, span, doc, code = (np.concatenate(c) for c in zip(*parts, strict=True))
-            order = np.lexsort((code, doc, span, prefix))
-            prefix, span, doc, code = prefix[order], span[order], doc[order], code[order]
+            prefix, span, doc, tie, code = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((code, tie, doc, span, prefix))
+            prefix, span, doc, tie, code = prefix[order], span[order], doc[order], tie[order], code[order]
             head = np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (span[1:] != span[:-1])))
             lead = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
-            again = (doc != doc[lead]) | (code != code[lead])
+            again = (doc != doc[lead]) | (tie != tie[lead]) | (code != code[lead])
             prefix = np.where(again, (doc.view(np.uint64) * _MIX) ^ code.astype(np.uint64), prefix)  # dealt out evenly
             yield pa.RecordBatch.from_arrays(
-                [pa.array(prefix.view(np.int64)), pa.array(span.view(np.int64)), pa.array(doc), pa.array(code), pa.array(again)],
-                ["prefix", "span", "doc", "code", "again"],
+                [pa.array(prefix.view(np.int64)), pa.array(span.view(np.int64)), pa.array(doc), pa.array(tie), pa.array(code), pa.array(again)],
+                ["prefix", "span", "doc", "tie", "code", "again"],
             )
 
 
 def _lists(texts: DataFrame, group: int) -> DataFrame:
-    """(doc, repeats, spans): codes of anchors whose windows all repeat; (prefix, code, large) of spans to compare."""
-    rows = texts.mapInArrow(_suffixes, "prefix long, span long, doc long, code long, again boolean")
-    by_span = Window.partitionBy("prefix", "again").orderBy("span", "doc", "code")
-    place = F.struct("span", "doc", "code")
+    """(doc, tie, repeats, spans): codes of anchors whose windows all repeat; (prefix, code, large) of spans to compare."""
+    rows = texts.mapInArrow(_suffixes, "prefix long, span long, doc long, tie long, code long, again boolean")
+    by_span = Window.partitionBy("prefix", "again").orderBy("span", "doc", "tie", "code")
+    place = F.struct("span", "doc", "tie", "code")
     marked = rows.withColumn("_new", F.when(~F.lag("span").over(by_span).eqNullSafe(F.col("span")), place))
     marked = marked.withColumn("_lead", F.last("_new", ignorenulls=True).over(by_span.rowsBetween(Window.unboundedPreceding, 0)))
     same = place == F.col("_lead")
@@ -124,7 +126,7 @@ def _lists(texts: DataFrame, group: int) -> DataFrame:
     marked = marked.withColumn("_spans", F.sum(F.col("_new").isNotNull().cast("int")).over(leads))
     repeats = F.col("again") | ~same
     kept = marked.where(repeats | (F.col("_spans") > 1))
-    return kept.groupBy("doc").agg(
+    return kept.groupBy("doc", "tie").agg(
         F.collect_set(F.when(repeats, F.col("code"))).alias("repeats"),
         F.collect_set(F.when(~repeats, F.struct("prefix", "code", (F.col("_spans") > group).alias("large")))).alias("spans"),
     )
@@ -136,7 +138,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], parts: int, large: bool) -> Ite
         for at in range(0, whole.num_rows, SLICE):
             batch = whole.slice(at, SLICE)
             out = []
-            for doc, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, tie, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = zlib.decompress(packed).split()
                 for s in spans:
                     if s["large"] != large:
@@ -146,14 +148,14 @@ def _contexts(batches: Iterator[pa.RecordBatch], parts: int, large: bool) -> Ite
                     if large:
                         for i in range(start, start + size):
                             digest = hashlib.blake2b(b" ".join(words[i : i + WINDOW]), digest_size=16).digest()
-                            out.append((0, 0, doc, i << 8, digest))
+                            out.append((0, 0, doc, tie, i << 8, digest))
                     else:
-                        out.append((s["prefix"] % parts, s["prefix"], doc, code, b" ".join(words[start : start + size + WINDOW - 1])))
+                        out.append((s["prefix"] % parts, s["prefix"], doc, tie, code, b" ".join(words[start : start + size + WINDOW - 1])))
             if out:
-                part, prefix, docs, codes, text = zip(*out, strict=True)
+                part, prefix, docs, ties, codes, text = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int32()), pa.array(prefix, pa.int64()), pa.array(docs, pa.int64()), pa.array(codes, pa.int64()), pa.array(text, pa.binary())],
-                    ["part", "prefix", "doc", "code", "words"],
+                    [pa.array(part, pa.int32()), pa.array(prefix, pa.int64()), pa.array(docs, pa.int64()), pa.array(ties, pa.int64()), pa.array(codes, pa.int64()), pa.array(text, pa.binary())],
+                    ["part", "prefix", "doc", "tie", "code", "words"],
                 )
 
 
@@ -199,26 +201,32 @@ def _repeated(texts: DataFrame, lists: DataFrame, group: int) -> DataFrame:
     """(doc, starts): windows that repeat, found by comparing the spans."""
     n, large = lists.agg(F.sum(F.size("spans")), F.max(F.exists("spans", lambda s: s["large"]))).first()
     parts = max(1, (n or 0) // PART)
-    spans = texts.join(lists.where(F.size("spans") > 0).select("doc", "spans"), "doc").select("doc", "packed", "spans")
-    schema = "part int, prefix long, doc long, code long, words binary"
+    spans = texts.join(lists.where(F.size("spans") > 0).select("doc", "tie", "spans"), ["doc", "tie"]).select("doc", "tie", "packed", "spans")
+    schema = "part int, prefix long, doc long, tie long, code long, words binary"
 
     def build(table: pa.Table) -> pa.Table:
-        doc, at = subtrees(*(table.column(c).to_numpy() for c in ("prefix", "doc", "code")), table.column("words").to_pylist())
-        return pa.table({"doc": pa.array(doc, pa.int64()), "at": pa.array(at, pa.int64())})
-
-    found = spans.mapInArrow(partial(_contexts, parts=parts, large=False), schema).groupBy("part").applyInArrow(build, "doc long, at long")
+        ids, ties = (table.column(c).to_numpy() for c in ("doc", "tie"))
+        order = np.lexsort((ties, ids))
+        new = np.concatenate(([False], (np.diff(ids[order]) != 0) | (np.diff(ties[order]) != 0)))
+        document = np.empty(len(ids), np.int64)
+        document[order] = np.cumsum(new[: len(ids)])  # its place among the documents of the part
+        first = order[np.concatenate(([True], new[1:]))[: len(ids)]]
+        found, at = subtrees(table.column("prefix").to_numpy(), document, table.column("code").to_numpy(), table.column("words").to_pylist())
+        return pa.table({"doc": pa.array(ids[first[found]], pa.int64()), "tie": pa.array(ties[first[found]], pa.int64()), "at": pa.array(at, pa.int64())})
+
+    found = spans.mapInArrow(partial(_contexts, parts=parts, large=False), schema).groupBy("part").applyInArrow(build, "doc long, tie long, at long")
     if large:
         nodes = spans.mapInArrow(partial(_contexts, parts=parts, large=True), schema)
-        place = F.struct("doc", "code")
-        by_node = Window.partitionBy("words").orderBy("doc", "code").rowsBetween(Window.unboundedPreceding, 0)
+        place = F.struct("doc", "tie", "code")
+        by_node = Window.partitionBy("words").orderBy("doc", "tie", "code").rowsBetween(Window.unboundedPreceding, 0)
         again = nodes.withColumn("lead", F.first(place).over(by_node)).where(place != F.col("lead"))
-        found = found.unionByName(again.select("doc", F.shiftright("code", 8).alias("at")))
-    return found.groupBy("doc").agg(F.collect_set("at").alias("starts"))
+        found = found.unionByName(again.select("doc", "tie", F.shiftright("code", 8).alias("at")))
+    return found.groupBy("doc", "tie").agg(F.collect_set("at").alias("starts"))
 
 
 def _pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-    packed = [zlib.compress(t, 1) for t in as_bytes(batch.column(1))]
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc", "packed"])
+    packed = [zlib.compress(t, 1) for t in as_bytes(batch.column(2))]
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc", "tie", "packed"])
 
 
 def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -247,14 +255,15 @@ def drop_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     A word goes if a window of 20 words covers it whose words also start earlier: in a smaller doc_id, or
     before in the same one.  Null texts have no words; texts of fewer than 20 words lose none.  A null doc_id
-    comes before all others.  doc_id names a text: rows that repeat it are the same document and get the same
-    result.  Other columns are not read; an empty table gives no rows.
+    comes before all others.  Rows that repeat a doc_id and text are the same document and get the same result;
+    rows that share a doc_id with other texts are documents of their own, in the order of a hash of their texts.
+    Other columns are not read; an empty table gives no rows.
     """
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")
-    texts = docs.select(id_, F.col("text").cast("string"))
+    texts = with_ties(docs.select(id_, F.col("text").cast("string"))).select("doc", "tie", "text")
     lists = checkpointed(_lists(texts, group))
-    packed = map_arrow(texts, _pack, "doc long, packed binary")
+    packed = map_arrow(texts, _pack, "doc long, tie long, packed binary")
     repeated = checkpointed(_repeated(packed, lists, group))
-    both = packed.join(lists.select("doc", "repeats"), "doc", "left").join(repeated, "doc", "left")
+    both = packed.join(lists.select("doc", "tie", "repeats"), ["doc", "tie"], "left").join(repeated, ["doc", "tie"], "left")
     out = map_arrow(both.select("doc", "packed", "repeats", "starts"), _remove, "doc long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept")
