@@ -5,13 +5,14 @@ of the longest context that has seen it, plus the escapes (method C: as many as
 symbols) of the longer ones that have not; below order 0 every byte takes 8 bits.  The language whose tree
 codes a text in the fewest bits is predicted.
 
-The trees are fitted on at most SAMPLE documents per language (those with the smallest id hashes), counted
-in Spark.  They are small by construction: bytes seen, and at most CONTEXTS contexts of order 3, so they are
-flattened into one table of code lengths and broadcast.
+The trees are fitted on at most SAMPLE documents per language (those with the smallest id hashes), and keep every
+context of these.  Spark counts the strings and a task builds each language's tree; trees go to the tasks in groups
+of at most GROUP_BYTES, and with more than one group each adds its languages to a text's result so far.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,76 +25,114 @@ from quern.llm.common import checkpointed, map_arrow
 
 #: Most labelled documents per language that a model is fitted on.
 SAMPLE = 2_000
-#: Most contexts of order 3 (those seen most often over all languages); rarer ones end at order 2.
-CONTEXTS = 12_000
-#: Most 4-byte strings per language that are kept (by count).
-GRAMS = 200_000
+#: Trees that are broadcast at once, in bytes (a single larger tree goes alone); bytes of text that are coded at once.
+GROUP_BYTES, STRETCH = 200_000_000, 4_000_000
 UNKNOWN = "und"
 
 
+@dataclass
+class Tree:
+    """One language's code lengths: of strings of four and three bytes that were seen (their last byte, after the others),
+    of a context's escape (0 where it was never seen), and whole ones of order 1 and below."""
+
+    four: np.ndarray
+    four_bits: np.ndarray
+    three: np.ndarray
+    three_bits: np.ndarray
+    context: np.ndarray
+    escape_three: np.ndarray
+    escape_two: np.ndarray
+    low: np.ndarray
+
+    @classmethod
+    def of(cls, grams: np.ndarray, counts: np.ndarray) -> Tree:
+        """From distinct strings of four bytes as numbers (first byte highest; 0 bytes stand before a text) and their counts."""
+        order = np.argsort(grams)
+        four, n = grams[order].astype(np.int64), counts[order].astype(np.float64)
+        zero = np.bincount(four & 255, n, 256)
+        zero_bits = _bits(zero[None, :], np.full((1, 256), 8.0))
+        one_bits = _bits(np.bincount(four & 0xFFFF, n, 1 << 16).reshape(256, 256), zero_bits)
+        three, at = np.unique(four & 0xFFFFFF, return_inverse=True)
+        three_bits, contexts, escapes = _sparse(three, np.bincount(at, n))
+        escape_two = np.zeros(1 << 16)
+        escape_two[contexts] = escapes
+        four_bits, context, escape_three = _sparse(four, n)
+        small = lambda a: a.astype(np.float32)
+        return cls(four.astype(np.uint32), small(four_bits), three.astype(np.uint32), small(three_bits), context.astype(np.uint32), small(escape_three), small(escape_two), small(one_bits.ravel()))
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """Code lengths of the last bytes of strings of four bytes."""
+        three = grams & np.uint32(0xFFFFFF)
+        at, seen = _find(self.three, three)
+        out = np.where(seen, self.three_bits[at], self.low[three & np.uint32(0xFFFF)] + self.escape_two[three >> np.uint32(8)])
+        at, known = _find(self.context, grams >> np.uint32(8))
+        out += np.where(known, self.escape_three[at], 0)
+        at, seen = _find(self.four, grams)
+        return np.where(seen, self.four_bits[at], out)
+
+    def dump(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, **vars(self))
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, raw: bytes) -> Tree:
+        return cls(**np.load(io.BytesIO(raw)))
+
+
+def _bits(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Code lengths of each symbol (columns) in each context (rows), given those after an escape."""
+    n, d = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n == 0, lower, np.where(counts > 0, -np.log2(counts / (n + d)), lower - np.log2(d / (n + d))))
+
+
+def _sparse(strings: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code lengths of sorted strings' last bytes; the contexts before these, and their escapes."""
+    contexts, at = np.unique(strings >> 8, return_inverse=True)
+    n, d = np.bincount(at, counts), np.bincount(at)
+    return np.log2((n + d)[at] / counts), contexts, np.log2((n + d) / d)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of what is wanted among sorted keys, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 @dataclass
 class Model:
-    """langs: names.  symbol: byte to symbol (0: unseen, or before the text).  row: three symbols to a row of bits.
-    bits: code length in bits by row, symbol and language."""
+    """Trees of some languages, in the order of their names."""
 
     langs: list[str]
-    symbol: np.ndarray
-    row: np.ndarray
-    bits: np.ndarray
+    trees: list[Tree]
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits that each language's tree takes for each text."""
-        size = int(self.symbol.max()) + 1
         out = np.zeros((len(texts), len(self.langs)))
+        held: list[tuple[int, bytes]] = []  # a text's number and a stretch of it, after the three bytes before
+        size = 0
         for i, text in enumerate(texts):
-            for at in range(0, len(text), 1 << 18):
-                part = np.frombuffer(text[max(0, at - 3) : at + (1 << 18)], np.uint8)
-                s = self.symbol[part]
-                if at == 0:
-                    s = np.concatenate((np.zeros(3, s.dtype), s))
-                context = (s[:-3] * size + s[1:-2]) * size + s[2:-1]
-                out[i] += self.bits[self.row[context] * size + s[3:]].sum(axis=0, dtype=np.float64)
+            for at in range(0, len(text), STRETCH):
+                held.append((i, (bytes(3) + text[:STRETCH]) if at == 0 else text[at - 3 : at + STRETCH]))
+                size += len(held[-1][1])
+                if size >= STRETCH:
+                    self._add(held, out)
+                    held, size = [], 0
+        if held:
+            self._add(held, out)
         return out
 
-
-def _lengths(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Code lengths of each symbol (columns) in each context (rows), given those after an escape."""
-    n, d = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        seen = -np.log2(counts / (n + d))
-        escaped = lower - np.log2(d / (n + d))
-    return np.where(n == 0, lower, np.where(counts > 0, seen, escaped)).astype(np.float32)
-
-
-def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarray) -> Model:
-    """The model from counts of 4-byte strings (first byte highest; 0 bytes stand before a text)."""
-    parts = np.stack([(gram >> shift) & 255 for shift in (24, 16, 8, 0)], axis=1)
-    used = np.unique(parts)
-    used = used[used > 0]
-    size = len(used) + 1
-    symbol = np.zeros(256, np.int32)
-    symbol[used] = np.arange(1, size)
-    s = symbol[parts].astype(np.int64)
-    context = (s[:, 0] * size + s[:, 1]) * size + s[:, 2]
-    seen, at = np.unique(context, return_inverse=True)
-    total = np.bincount(at, count, len(seen))
-    chosen = np.sort(seen[np.lexsort((seen, -total))[:CONTEXTS]])
-    row = (np.arange(size**3) % size**2).astype(np.int32)
-    row[chosen] = size**2 + np.arange(len(chosen))
-    bits = np.zeros(((size**2 + len(chosen)) * size, len(langs)), np.float32)
-    for k in range(len(langs)):
-        own = lang == k
-        three = np.bincount((context[own] % size**2) * size + s[own, 3], count[own], size**3).reshape(size**2, size)
-        two = three.reshape(size, size, size).sum(axis=0)
-        one = two.sum(axis=0, keepdims=True)
-        zero = _lengths(one, np.full((1, size), 8.0))
-        first = _lengths(two, zero)
-        second = _lengths(three, np.tile(first, (size, 1)))
-        inside = own & np.isin(context, chosen)
-        four = np.bincount(np.searchsorted(chosen, context[inside]) * size + s[inside, 3], count[inside], len(chosen) * size)
-        third = _lengths(four.reshape(len(chosen), size), second[chosen % size**2])
-        bits[:, k] = np.concatenate((second, third)).ravel()
-    return Model(langs, symbol, row, bits)
+    def _add(self, held: list[tuple[int, bytes]], out: np.ndarray) -> None:
+        b = np.frombuffer(b"".join(t for _, t in held), np.uint8).astype(np.uint32)
+        grams = (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
+        ends = np.cumsum([len(t) for _, t in held])
+        begins = ends - [len(t) for _, t in held]
+        distinct, of = np.unique(grams, return_inverse=True)
+        which = [i for i, _ in held]
+        for k, tree in enumerate(self.trees):
+            sums = np.concatenate(([0.0], np.cumsum(tree.bits(distinct)[of], dtype=np.float64)))
+            np.add.at(out[:, k], which, sums[ends - 3] - sums[begins])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,13 +158,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams), pa.array(counts)], ["lang", "gram", "n"])
 
 
+def _tree(table: pa.Table) -> pa.Table:
+    raw = Tree.of(table.column("gram").to_numpy(), table.column("n").to_numpy()).dump()
+    return pa.table({"lang": table.column("lang")[:1], "tree": pa.array([raw], pa.large_binary()).cast(pa.binary()), "size": pa.array([len(raw)], pa.int64())})
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows that nothing is learned from: crc32 of the id as text is 2 modulo 4.  Null id: false."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on the rows with a language, a text and an id that are not held out, ``sample`` a language at most."""
+def fit(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(lang, tree, size): a row per language, fitted on the rows with a language, a text and an id that are not held out, ``sample`` a language at most."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).withColumn("_bucket", F.shiftright("_hash", 52))
     # A language may have most rows: counts of 2^12 ranges of hashes tell where its sample ends, and no more is ranked.
@@ -142,37 +186,63 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         ids = F.broadcast(ids)
     texts = rows.select("doc_id", F.col("lang").cast("string"), "text").join(ids, "doc_id", "left_semi").select("lang", "text")
     grams = texts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    most = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    found = grams.withColumn("_rank", most).where(F.col("_rank") <= GRAMS).select("lang", "gram", "n").toArrow()
-    langs = sorted(set(found.column("lang").to_pylist()))
-    index = {name: i for i, name in enumerate(langs)}
-    lang = np.fromiter((index[x] for x in found.column("lang").to_pylist()), np.int64, found.num_rows)
-    return build(langs, lang, found.column("gram").to_numpy(), found.column("n").to_numpy().astype(float))
+    return checkpointed(grams.groupBy("lang").applyInArrow(_tree, "lang string, tree binary, size long"))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def _groups(trees: DataFrame) -> list[list[str]]:
+    """Languages in the order of their names, in groups whose trees take GROUP_BYTES at most."""
+    groups: list[list[str]] = [[]]
+    total = 0
+    for lang, size in trees.select("lang", "size").orderBy("lang").collect():  # a row a language
+        if groups[-1] and total + size > GROUP_BYTES:
+            groups.append([])
+            total = 0
+        groups[-1].append(lang)
+        total += size
+    return groups
+
+
+def load(trees: DataFrame, langs: list[str]) -> Model:
+    """The trees of some languages, of GROUP_BYTES as a rule."""
+    rows = trees.where(F.col("lang").isin(langs)).select("lang", "tree").orderBy("lang").collect()
+    return Model([r["lang"] for r in rows], [Tree.load(bytes(r["tree"])) for r in rows])
+
+
+def predict(docs: DataFrame, trees: DataFrame) -> DataFrame:
     """(doc_id, lang_pred, score) of each row.  Only the text is read for a prediction.
 
     score: the probability of the language when all are as likely beforehand.  A text that is null or has no
     letter gets ``und`` and 0, and so does every text when the model has no language.  Equal code lengths go
     to the first language by name.  Repeated rows get a row each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m = shared.value
-        texts = batch.column(1).to_pylist()
-        speaks = [bool(m.langs) and t is not None and any(map(str.isalpha, t)) for t in texts]
-        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        which = [i for i, s in enumerate(speaks) if s]
-        if which:
-            bits = m.code_lengths([texts[i].encode() for i in which])
-            best = bits.argmin(axis=1)
-            more = bits - bits.min(axis=1, keepdims=True)
-            scores[which] = 1 / np.exp2(-np.minimum(more, 1000)).sum(axis=1)
-            for i, b in zip(which, best.tolist(), strict=True):
-                names[i] = m.langs[b]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores)], ["doc_id", "lang_pred", "score"])
-
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs.select("doc_id", F.col("text").cast("string")), run, f"doc_id {kind}, lang_pred string, score double")
+    # So far: the best language, its bits, and the sum over languages of 2 ** (best bits - bits).
+    sofar = docs.select("doc_id", F.col("text").cast("string"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(float("inf")).alias("bits"), F.lit(0.0).alias("whole"))
+    groups = _groups(trees)
+    for group in groups:
+        shared = spark.sparkContext.broadcast(load(trees, group))
+
+        def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+            m = shared.value
+            texts = batch.column(1).to_pylist()
+            which = [i for i, t in enumerate(texts) if m.langs and t is not None and any(map(str.isalpha, t))]
+            names = batch.column(2).to_pylist()
+            least, whole = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in (3, 4))
+            if which:
+                bits = m.code_lengths([texts[i].encode() for i in which])
+                best = bits.argmin(axis=1)
+                low = bits.min(axis=1)
+                old, new = least[which], np.minimum(least[which], low)
+                shrunk = np.where(np.isinf(old), 0, whole[which] * np.exp2(-np.minimum(np.where(np.isinf(old), 0, old) - new, 1000)))
+                whole[which] = shrunk + np.exp2(-np.minimum(bits - new[:, None], 1000)).sum(axis=1)
+                least[which] = new
+                for i, b, better in zip(which, best.tolist(), (low < old).tolist(), strict=True):
+                    if better:
+                        names[i] = m.langs[b]
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array(least), pa.array(whole)], batch.schema.names)
+
+        sofar = map_arrow(sofar, run, f"doc_id {kind}, text string, lang_pred string, bits double, whole double")
+        if group is not groups[-1]:
+            sofar = checkpointed(sofar)  # so that one group's trees are in memory at a time
+    return sofar.select("doc_id", "lang_pred", F.when(F.col("whole") > 0, 1 / F.col("whole")).otherwise(0.0).alias("score"))

@@ -1,15 +1,14 @@
 """SimHash near-duplicates found through a vantage-point tree over the fingerprints.
 
-A fingerprint has 64 bits; two are linked when they differ in at most ``radius`` of them.  The tree
-has one vantage point per level, and level i measures the Hamming distance to it over the i-th block
-of eight bits.  As the blocks are disjoint, the triangle bounds of the levels add up: for linked x, y
+A fingerprint has 64 bits; two are linked when they differ in at most ``radius`` of them.  A node of the tree
+has a vantage point of its own, one of its fingerprints, and splits the others by their Hamming distance to it:
+up to the median distance they go inside, the rest outside.  By the triangle inequality a branch can hold a
+fingerprint's links only if its distance to the vantage point is within ``radius`` of the branch's distances.
 
-    sum_i |d_i(x, vantage_i) - d_i(y, vantage_i)|  <=  d(x, y)  <=  radius
-
-so a branch is pruned as soon as the bounds on the way down exceed the radius.  The upper levels split
-the distinct fingerprints over shards (Spark partitions them); a fingerprint is also sent, as a query,
-to each later shard that its radius overlaps, and the lower levels prune inside a task.  What is left is
-compared exactly, so no link is missed.
+The upper levels of the tree, built from a sample that is as small as the number of shards, deal the distinct
+fingerprints to shards (its leaves).  A fingerprint is also sent, as a query, to each later shard that its radius
+overlaps.  Within a task the tree goes on: both sides of a node, and only the boundaries of its two sides with one
+another.  What is left is compared exactly, so no link is missed.
 
 Copies share a fingerprint and are folded before the search.  A task returns a forest over its links,
 not its pairs; components then come from star contraction in Spark.
@@ -17,21 +16,23 @@ not its pairs; components then come from star contraction in Spark.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_bytes, checkpointed, connected_components, map_arrow
+from quern.llm.common import BROADCAST_IDS, as_bytes, checkpointed, connected_components, map_arrow
 
 SEED = 42
-LEVELS, BLOCK = 8, 8
-#: Distinct fingerprints that a shard holds on average, at most.
-SHARD = 100_000
+#: Distinct fingerprints of a shard, about; least number of shards; fingerprints of a sample for each shard.
+SHARD, SHARDS, SAMPLE = 100_000, 16, 32
 #: Pairs that are compared at once without further pruning.
 DIRECT = 1 << 20
 
@@ -68,36 +69,72 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), partial(_fingerprints, width=width), "doc_id long, fp long")
 
 
-def distances(fps: np.ndarray, vantage: np.ndarray) -> np.ndarray:
-    """Per fingerprint the distance to each level's vantage point, over that level's bits."""
-    bytes_ = fps.astype("<u8").view(np.uint8).reshape(-1, LEVELS) ^ vantage
-    return np.bitwise_count(bytes_).astype(np.int8)
-
-
-def _shards(depth: int, present: np.ndarray, radius: int) -> dict[int, np.ndarray]:
-    """For each shard the later shards that its radius overlaps (triangle bounds of the upper levels)."""
-    paths = np.stack([(present // (BLOCK + 1) ** i) % (BLOCK + 1) for i in range(depth)], axis=1).astype(np.int16)
-    out = {}
-    for i, shard in enumerate(present.tolist()):
-        near = np.abs(paths[i:] - paths[i]).sum(axis=1) <= radius
-        out[shard] = present[i:][near]
-    return out
-
-
-def _send(batches: Iterator[pa.RecordBatch], depth: int, vantage: np.ndarray, overlaps: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+@dataclass
+class Node:
+    """A node of the tree's upper levels: inside are the fingerprints up to ``reach`` from the vantage point.  A leaf has a number only."""
+
+    vantage: np.uint64 = np.uint64(0)
+    reach: int = 0
+    inside: Node | None = None
+    outside: Node | None = None
+    shard: int = -1
+
+
+def distances(fps: np.ndarray, vantage: np.uint64) -> np.ndarray:
+    return np.bitwise_count(fps ^ vantage)
+
+
+def plant(sample: np.ndarray, shards: int) -> Node:
+    """The upper levels of the tree, down to about ``shards`` leaves."""
+    leaves = itertools.count()
+
+    def grow(own: np.ndarray, want: int) -> Node:
+        if want > 1 and len(own) > 1:
+            vantage = own[len(own) // 2]  # of a sample in random order
+            d = distances(own, vantage)
+            reach = int(np.median(d))
+            inside = d <= reach
+            if not inside.all():
+                part = max(1, min(want - 1, round(want * float(inside.mean()))))
+                return Node(vantage, reach, grow(own[inside], part), grow(own[~inside], want - part))
+        return Node(shard=next(leaves))
+
+    return grow(sample, shards)
+
+
+def shards_of(tree: Node, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place in fps, shard) of each fingerprint in each shard that ``radius`` overlaps; radius 0: its own shard alone."""
+    places, shards = [], []
+    todo = [(tree, np.arange(len(fps)))]
+    while todo:
+        node, own = todo.pop()
+        if not len(own):
+            continue
+        if node.inside is None:
+            places.append(own)
+            shards.append(np.full(len(own), node.shard, np.int32))
+            continue
+        d = distances(fps[own], node.vantage).astype(np.int16)
+        todo.append((node.inside, own[d - radius <= node.reach]))
+        todo.append((node.outside, own[d + radius > node.reach]))
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return np.concatenate(places), np.concatenate(shards)
+
+
+def _send(batches: Iterator[pa.RecordBatch], tree: Broadcast, radius: int) -> Iterator[pa.RecordBatch]:
     """Each fingerprint to its own shard (home) and, as a query, to the later ones that it overlaps."""
-    weights = (BLOCK + 1) ** np.arange(depth)
     for batch in batches:
-        fps = batch.column(0).to_numpy(zero_copy_only=False)
-        own = distances(fps.view(np.uint64), vantage)[:, :depth] @ weights
-        for at in range(0, len(fps), 4096):
-            shards = [overlaps[s] for s in own[at : at + 4096].tolist()]
-            lengths = np.fromiter(map(len, shards), np.int64, len(shards))
-            to = np.concatenate(shards)
-            home = to == np.repeat(own[at : at + 4096], lengths)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(to.astype(np.int32)), pa.array(np.repeat(fps[at : at + 4096], lengths)), pa.array(home)], ["shard", "fp", "home"]
-            )
+        whole = batch.column(0).to_numpy(zero_copy_only=False)
+        for at in range(0, len(whole), 4096):
+            fps = whole[at : at + 4096]
+            home = np.zeros(len(fps), np.int32)
+            place, shard = shards_of(tree.value, fps.view(np.uint64), 0)
+            home[place] = shard
+            place, shard = shards_of(tree.value, fps.view(np.uint64), radius)
+            later = shard >= home[place]
+            place, shard = place[later], shard[later]
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(fps[place]), pa.array(shard == home[place])], ["shard", "fp", "home"])
 
 
 def _forest(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,62 +154,47 @@ def _forest(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> tuple[np.n
     return np.concatenate((left, right)), np.concatenate((left[mark], left[low]))
 
 
-def near_pairs(homes: np.ndarray, queries: np.ndarray, vantage: np.ndarray, radius: int, depth: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def near_pairs(homes: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (not all of them, but all that connectivity needs) among homes and from queries to homes."""
     out_a, out_b = [], []
-    d_home, d_query = distances(homes, vantage), distances(queries, vantage)
 
-    def direct(h: np.ndarray, q: np.ndarray, same: bool) -> None:
+    def direct(h: np.ndarray, q: np.ndarray | None) -> None:
+        other = h if q is None else q
         step = max(1, DIRECT // max(1, len(h)))
-        for at in range(0, len(q), step):
-            some = q[at : at + step]
+        for at in range(0, len(other), step):
+            some = other[at : at + step]
             near = np.bitwise_count(some[:, None] ^ h[None, :]) <= radius
-            if same:
+            if q is None:
                 near &= np.arange(at, at + len(some))[:, None] < np.arange(len(h))[None, :]
             if near.any():
                 a, b = _forest(some, h, near)
                 out_a.append(a)
                 out_b.append(b)
 
-    def descend(h: np.ndarray, q: np.ndarray | None, level: int, left: int) -> None:
-        """h, q: row numbers; q None: h against itself.  left: what the bounds above leave of the radius."""
-        m = len(h) if q is None else len(q)
-        if not len(h) or not m:
-            return
-        if level == LEVELS or len(h) * m <= DIRECT // 4:
-            direct(homes[h], homes[h] if q is None else queries[q], q is None)
-            return
-        of_h = [h[d_home[h, level] == d] for d in range(BLOCK + 1)]
+    # Pairs of sets still to compare; q None: h within itself.
+    todo: list[tuple[np.ndarray, np.ndarray | None]] = [(homes, None), (homes, queries)]
+    while todo:
+        h, q = todo.pop()
+        if len(h) < 1 + (q is None) or (q is not None and not len(q)):
+            continue
+        if len(h) * len(h if q is None else q) <= DIRECT // 4:
+            direct(h, q)
+            continue
+        vantage = h[len(h) // 2]
+        d = distances(h, vantage).astype(np.int16)
+        reach = int(np.median(d))
+        inside = d <= reach
+        if inside.all():
+            reach -= 1
+            inside = d <= reach
+        if not inside.any():  # all at one distance: no vantage point splits them
+            direct(h, q)
+            continue
         if q is None:
-            for d in range(BLOCK + 1):
-                descend(of_h[d], None, level + 1, left)
-                for e in range(d + 1, min(BLOCK, d + left) + 1):
-                    between(of_h[d], of_h[e], level + 1, left - (e - d))
-            return
-        of_q = [q[d_query[q, level] == d] for d in range(BLOCK + 1)]
-        for d in range(BLOCK + 1):
-            for e in range(max(0, d - left), min(BLOCK, d + left) + 1):
-                descend(of_h[d], of_q[e], level + 1, left - abs(d - e))
-
-    def between(h: np.ndarray, g: np.ndarray, level: int, left: int) -> None:
-        """Homes against other homes."""
-        if not len(h) or not len(g):
-            return
-        if level == LEVELS or len(h) * len(g) <= DIRECT // 4:
-            direct(homes[h], homes[g], False)
-            return
-        of_h = [h[d_home[h, level] == d] for d in range(BLOCK + 1)]
-        of_g = [g[d_home[g, level] == d] for d in range(BLOCK + 1)]
-        for d in range(BLOCK + 1):
-            for e in range(max(0, d - left), min(BLOCK, d + left) + 1):
-                between(of_h[d], of_g[e], level + 1, left - abs(d - e))
-
-    descend(np.arange(len(homes)), None, depth, radius)
-    # Queries come from other shards: the bounds of the upper levels differ by shard and are used again.
-    for path in np.unique(d_query[:, :depth], axis=0) if len(queries) and len(homes) else ():
-        spent = int(np.abs(path.astype(int) - d_home[0, :depth].astype(int)).sum())
-        if spent <= radius:
-            descend(np.arange(len(homes)), np.nonzero((d_query[:, :depth] == path).all(axis=1))[0], depth, radius - spent)
+            todo += [(h[inside], None), (h[~inside], None), (h[inside & (d > reach - radius)], h[~inside & (d <= reach + radius)])]
+        else:
+            of_q = distances(q, vantage).astype(np.int16)
+            todo += [(h[inside], q[of_q - radius <= reach]), (h[~inside], q[of_q + radius > reach])]
     if not out_a:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     return np.concatenate(out_a), np.concatenate(out_b)
@@ -180,26 +202,20 @@ def near_pairs(homes: np.ndarray, queries: np.ndarray, vantage: np.ndarray, radi
 
 def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
     """(a, b): links among the distinct fingerprints of column fp, enough to connect all that are linked."""
-    n = distinct.count()
+    spark, n = distinct.sparkSession, distinct.count()
     if n < 2:
-        return distinct.sparkSession.createDataFrame([], "a long, b long")
-    seed = distinct.agg(F.min_by("fp", F.xxhash64("fp"))).first()[0]
-    vantage = np.array([seed], np.int64).view(np.uint8)[:LEVELS].copy()
-    depth = 1
-    while depth < 5 and n > SHARD * 5.8**depth:  # a level's distances spread over 5.8 values, by their entropy
-        depth += 1
-    own = sum(
-        (F.bit_count(F.shiftrightunsigned("fp", 8 * i).bitwiseAND(255).bitwiseXOR(F.lit(int(vantage[i])))) * (BLOCK + 1) ** i for i in range(depth)),
-        F.lit(0),
-    )
-    present = np.array(sorted(r[0] for r in distinct.select(own.alias("s")).distinct().collect()))  # 9 ** depth numbers at most
-    overlaps = _shards(depth, present, radius)
-    sent = distinct.select("fp").mapInArrow(partial(_send, depth=depth, vantage=vantage, overlaps=overlaps), "shard int, fp long, home boolean")
+        return spark.createDataFrame([], "a long, b long")
+    shards = max(SHARDS, n // SHARD)
+    # A sample by hash, the same on every run; a lone fingerprint where the hash leaves out all.
+    chosen = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, n // (shards * SAMPLE)))) == 0).select("fp")
+    sample = np.sort(np.array([r["fp"] for r in chosen.collect()], np.int64).view(np.uint64))  # about SAMPLE a shard
+    tree = spark.sparkContext.broadcast(plant(np.random.default_rng(SEED).permutation(sample), shards))
+    sent = distinct.select("fp").mapInArrow(partial(_send, tree=tree, radius=radius), "shard int, fp long, home boolean")
 
     def search(table: pa.Table) -> pa.Table:
         home = table.column("home").to_numpy()
         fps = table.column("fp").to_numpy().view(np.uint64)
-        a, b = near_pairs(fps[home], fps[~home], vantage, radius, depth)
+        a, b = near_pairs(fps[home], fps[~home], radius)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return sent.groupBy("shard").applyInArrow(search, "a long, b long")
@@ -214,10 +230,13 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
     """
     fps = checkpointed(fingerprints(docs, width))
     nodes = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = connected_components(links(nodes, radius))
-    groups = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = groups.groupBy("root").agg(F.min("low").alias("component_id"))
-    groups = groups.join(lows, "root").select("fp", "component_id")
+    roots = checkpointed(connected_components(links(nodes, radius)))
+    linked = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "low", "root")
+    lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
+    if roots.count() <= BROADCAST_IDS:  # no more components than that; a large one's rows then stay where they are
+        lows = F.broadcast(lows)
+    linked = linked.join(lows, "root").select(F.col("fp").alias("_fp"), "component_id")
+    groups = nodes.join(linked, F.col("fp") == F.col("_fp"), "left").select("fp", F.when(F.col("_fp").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id"))
     return fps.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 

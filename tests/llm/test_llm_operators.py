@@ -99,11 +99,10 @@ def test_near_pairs_find_all_components():
     for _ in range(6):
         flips.append(base ^ (np.uint64(1) << rng.integers(0, 64, 150, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 150, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 150, dtype=np.uint64)))
     fps = np.unique(np.concatenate(flips))
-    vantage = fps[:1].view(np.uint8).copy()
     want = components([int(f) for f in fps])
     old, simhash.DIRECT = simhash.DIRECT, 64
     try:
-        a, b = simhash.near_pairs(fps, fps[:0], vantage, 4)
+        a, b = simhash.near_pairs(fps, fps[:0], 4)
     finally:
         simhash.DIRECT = old
     index = {int(f): i for i, f in enumerate(fps)}
@@ -129,6 +128,20 @@ def test_simhash_in_several_shards(docs, monkeypatch):
     assert deep == {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
 
 
+def test_tree_meets_all_links():
+    """Of two linked fingerprints the one at home in the earlier shard is sent to the other's shard; shards differ in vantage points."""
+    rng = np.random.default_rng(5)
+    fps = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
+    near = fps ^ (np.uint64(1) << rng.integers(0, 64, len(fps), dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, len(fps), dtype=np.uint64))
+    tree = simhash.plant(fps[:500], 20)
+    place, shard = simhash.shards_of(tree, fps, 0)
+    assert sorted(place.tolist()) == list(range(len(fps))) and len(set(shard.tolist())) == 20
+    home = dict(zip(place.tolist(), shard.tolist(), strict=True))
+    visits = set(zip(*(x.tolist() for x in simhash.shards_of(tree, near, 2)), strict=True))
+    assert all((i, home[i]) in visits for i in range(len(fps))) and len(visits) < 18 * len(fps)
+    assert len({int(n.vantage) for n in (tree, tree.inside, tree.outside)}) == 3
+
+
 # 2
 def slow_repeats(rows):
     seen, out = set(), {}
@@ -342,21 +355,23 @@ def test_language(docs, odd, none):
     rows = langid.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(langid.held_out(F.col("doc_id"))).collect()
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows)
     found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(clash(odd), model).collect()}
-    assert found[1] == found[2] == found[4] == "und" and found[6] in model.langs
+    assert found[1] == found[2] == found[4] == "und" and found[6] in {r["lang"] for r in model.collect()}
     assert langid.predict(docs.limit(3), langid.fit(none)).where("lang_pred = 'und'").count() == 3
 
 
 def test_code_lengths_by_hand():
     """Each byte's code length, from dictionaries of contexts."""
     samples = {"a": b"the cat sat on the mat the end", "b": b"das ist ein satz und noch ein satz"}
-    grams = [(k, int.from_bytes(g, "big")) for k, s in enumerate(samples.values()) for p in [b"\0\0\0" + s] for g in [p[i : i + 4] for i in range(len(s))]]
-    counted = collections.Counter(grams)
-    model = langid.build(list(samples), np.array([k for k, _ in counted]), np.array([g for _, g in counted]), np.array(list(counted.values()), float))
+    trees = []
+    for sample in samples.values():
+        p = b"\0\0\0" + sample
+        counted = collections.Counter(int.from_bytes(p[i : i + 4], "big") for i in range(len(sample)))
+        trees.append(langid.Tree.of(np.array(list(counted)), np.array(list(counted.values()))))
+    model = langid.Model(list(samples), [langid.Tree.load(t.dump()) for t in trees])
     text = b"the satz is new"
     for k, s in enumerate(samples.values()):
         p, bits = b"\0\0\0" + s, 0.0
-        t = bytes(c if any(c in x for x in samples.values()) else 0 for c in text)
-        t = b"\0\0\0" + t
+        t = b"\0\0\0" + text
         for i in range(3, len(t)):
             add = 0.0
             for order in (3, 2, 1, 0):
@@ -373,6 +388,15 @@ def test_code_lengths_by_hand():
                 add += 8
             bits += add
         assert model.code_lengths([text])[0, k] == pytest.approx(bits, rel=1e-4)
+        assert model.code_lengths([b"", text, b"x", text])[[1, 3], k] == pytest.approx(bits, rel=1e-4)
+
+
+def test_language_in_groups(docs, monkeypatch):
+    trees = langid.fit(docs)
+    want = {r["doc_id"]: (r["lang_pred"], round(r["score"], 6)) for r in langid.predict(docs, trees).collect()}
+    monkeypatch.setattr(langid, "GROUP_BYTES", 1)
+    monkeypatch.setattr(langid, "STRETCH", 50)
+    assert want == {r["doc_id"]: (r["lang_pred"], round(r["score"], 6)) for r in langid.predict(docs, trees).collect()}
 
 
 # all
