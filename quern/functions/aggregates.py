@@ -162,7 +162,11 @@ def mad(df: DataFrame, keys: list[str], x: Column | str) -> DataFrame:
     """(keys, mad): the median of the distances from the group's median, joined back."""
     values = df.select(*keys, col(x).cast("double").alias("value")).where("value is not null")
     medians = values.groupBy(*keys).agg(F.median("value").alias("middle"))
-    return values.join(medians, keys).groupBy(*keys).agg(F.median(F.abs(F.col("value") - F.col("middle"))).alias("mad"))
+    medians = medians.withColumnsRenamed({k: f"_m_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_m_{k}"))
+    return values.join(medians, same).groupBy(*keys).agg(F.median(F.abs(F.col("value") - F.col("middle"))).alias("mad"))
 
 
 # Aggregates over the counts of values: two levels, so that no group's rows are gathered.
@@ -202,4 +206,26 @@ def mode(df: DataFrame, keys: list[str], x: Column | str, order: Column | str) -
     return counts.groupBy(*keys).agg(F.min_by("value", F.struct(-F.col("n"), F.col("o"))).alias("mode"))
 
 
+@register("agg_weighted_avg", "agg_wavg")
+def weighted_avg(x, weight):
+    """Of rows with both a value and a weight."""
+    both = col(x).isNotNull() & col(weight).isNotNull()
+    return F.sum(F.when(both, col(x) * col(weight))) / F.sum(F.when(both, col(weight)))
+
+
+@register("agg_geomean", "agg_geometric_mean")
+def geomean(x):
+    return F.exp(F.avg(F.ln(col(x))))
+
+
+def histogram_values(df: DataFrame, x: Column | str, bins: list) -> DataFrame:
+    """(bin, count): rows per bin, whose upper bound is included, and of values beyond the last one (bin null)."""
+    upper = F.lit(None)
+    for b in sorted(bins, reverse=True):
+        upper = F.when(col(x) <= b, F.lit(b)).otherwise(upper)
+    found = df.where(col(x).isNotNull()).select(upper.alias("bin")).groupBy("bin").agg(F.count("*").alias("count"))
+    empty = df.sparkSession.createDataFrame([(b,) for b in bins], f"bin {found.schema['bin'].dataType.simpleString()}")
+    return empty.join(found, "bin", "left").select("bin", F.coalesce("count", F.lit(0)).alias("count")).unionByName(found.where("bin IS NULL"))
+
+
 alias("agg_list", "agg_collect")

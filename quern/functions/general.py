@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import secrets
 import time
 import uuid as _uuid
 
 import pandas as pd
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +61,34 @@ def cast_to_type(x, like, df):
     return col(x).cast(df.select(like).schema[0].dataType)
 
 
+@register()
+def get_type(x):
+    return F.typeof(col(x))
+
+
+@register()
+def replace_type(x, old: str, new: str, df):
+    """x with each part of type ``old`` in its type, however nested, cast to ``new``."""
+    kind = df.select(col(x)).schema[0].dataType.simpleString()
+    return col(x).cast(re.sub(rf"\b{old}\b", new, kind))
+
+
+@register()
+def is_histogram_other_bin(x):
+    """Whether a bin is the one of all values beyond the last bound."""
+    return col(x).isNull()
+
+
+def set_variable(spark: SparkSession, name: str, value: object) -> None:
+    """SET VARIABLE: a session variable of the value's own type."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE `{name}` = :value", args={"value": value})
+
+
+@register()
+def getvariable(name: str):
+    return F.expr(f"session.`{name}`")
+
+
 @register("alias")
 def alias_of(df, x):
     """The name that the expression would have as a column."""

@@ -261,7 +261,32 @@ def list_aggregate(x, name: str, *args):
         "var_pop": m["m2"] / n, "var_samp": m["m2"] / F.when(m["n"] > 1, m["n"] - 1), "stddev_pop": F.sqrt(m["m2"] / n), "stddev_samp": F.sqrt(m["m2"] / F.when(m["n"] > 1, m["n"] - 1)),
         "string_agg": F.when(~empty, F.array_join(F.transform(some, lambda e: e.cast("string")), args[0] if args else ",")), "approx_count_distinct": F.size(F.array_distinct(some)).cast("long"),
     }
-    found |= {"mean": found["avg"], "variance": found["var_samp"], "stddev": found["stddev_samp"]}
+    found |= {"mean": found["avg"], "variance": found["var_samp"], "stddev": found["stddev_samp"], "sem": F.sqrt(m["m2"] / n) / F.sqrt(n)}
+    if name in ("bit_and", "bit_or", "bit_xor"):
+        bits = F.transform(some, lambda e: e.cast("long"))
+        join = {"bit_and": lambda s, v: s.bitwiseAND(v), "bit_or": lambda s, v: s.bitwiseOR(v), "bit_xor": lambda s, v: s.bitwiseXOR(v)}[name]
+        return F.when(~empty, F.aggregate(bits, F.lit(-1 if name == "bit_and" else 0).cast("long"), join))
+    if name in ("mode", "entropy", "histogram"):
+        kinds = F.array_distinct(some)
+        times = lambda v: F.size(F.filter(some, lambda e: e == v))
+        if name == "mode":  # of equally common values the first
+            return F.array_max(F.transform(kinds, lambda v, i: F.struct(times(v).alias("n"), (-i).alias("i"), v.alias("v"))))["v"]
+        if name == "histogram":
+            return F.map_from_entries(F.transform(F.array_sort(kinds), lambda v: F.struct(v.alias("key"), times(v).cast("long").alias("value"))))
+        share = lambda v: times(v) / F.size(some)
+        return F.aggregate(F.transform(kinds, lambda v: -share(v) * F.log2(share(v))), F.lit(0.0), lambda s, v: s + v)
+    if name in ("skewness", "kurtosis", "kurtosis_pop"):
+        power = lambda k: F.aggregate(m["x"], F.lit(0.0), lambda s, v: s + F.pow(v - m["mean"], F.lit(k)))
+        count, var = m["n"].cast("double"), m["m2"] / n
+        if name == "skewness":
+            return F.when(m["n"] > 2, power(3) / n / F.pow(var, F.lit(1.5)) * F.sqrt(count * (count - 1)) / (count - 2))
+        flat = power(4) / n / F.when(var > 0, var * var)
+        if name == "kurtosis_pop":
+            return F.when(m["n"] > 1, flat - 3)
+        return F.when(m["n"] > 3, (count - 1) * ((count + 1) * flat - 3 * (count - 1)) / ((count - 2) * (count - 3)))
+    if name == "mad":
+        middle = list_aggregate(x, "median")
+        return list_aggregate(F.transform(m["x"], lambda v: F.abs(v - middle)), "median")
     if name == "median":
         s = F.array_sort(m["x"])
         at = lambda i: F.get(s, i.cast("int"))
@@ -271,7 +296,7 @@ def list_aggregate(x, name: str, *args):
     return found[name]
 
 
-for _n in "avg var_samp var_pop stddev_pop stddev_samp sum product min max count first last any_value median string_agg bool_and bool_or approx_count_distinct mean".split():
+for _n in "avg var_samp var_pop stddev_pop stddev_samp sum product min max count first last any_value median string_agg bool_and bool_or approx_count_distinct mean sem mode mad entropy histogram skewness kurtosis kurtosis_pop bit_and bit_or bit_xor".split():
     FUNCTIONS[f"list_{_n}"] = lambda x, *a, _n=_n: list_aggregate(x, _n, *a)
 
 
@@ -315,6 +340,33 @@ def map_contains(m, k):
     return F.map_contains_key(col(m), F.lit(k))
 
 
+@register("map_contains_value")
+def map_contains_value(m, v):
+    return F.array_contains(F.map_values(col(m)), F.lit(v))
+
+
+@register("map_contains_entry")
+def map_contains_entry(m, k, v):
+    return F.coalesce(F.try_element_at(col(m), F.lit(k)) == F.lit(v), F.lit(False))
+
+
+@register("generate_subscripts")
+def generate_subscripts(x):
+    """A row per element: its place."""
+    return F.explode(F.when(F.size(col(x)) > 0, F.sequence(F.lit(1), F.size(col(x)))))
+
+
+@register("array_to_string_comma_default")
+def array_to_string_comma_default(x, sep: str = ","):
+    return F.array_join(col(x), sep)
+
+
+@register("variant_normalize")
+def variant_normalize(v):
+    """The same value with its fields in the order of their names."""
+    return F.parse_json(F.to_json(col(v)))
+
+
 for _n in "map_keys map_values map_entries".split():
     FUNCTIONS[_n] = lambda m, _f=getattr(F, _n): _f(col(m))
 FUNCTIONS["cardinality"] = lambda m: F.size(col(m)).cast("long")

@@ -207,7 +207,10 @@ def make_timestamp_ns(ns):
 
 @register()
 def make_time(h, m, s):
-    return F.make_time(col(h), col(m), col(s))
+    """The time of day as text, since Spark's own type for it is not on by default; microseconds only where there are some."""
+    micros = F.round(col(s) * 1_000_000).cast("long")
+    whole = F.format_string("%02d:%02d:%02d", col(h), col(m), F.floor(micros / 1_000_000))
+    return F.concat(whole, F.when(micros % 1_000_000 == 0, "").otherwise(F.regexp_replace(F.format_string(".%06d", micros % 1_000_000), "0+$", "")))
 
 
 @register()
@@ -245,6 +248,22 @@ def time_bucket(x, micros: int = 0, months: int = 0, origin: str | None = None):
     return _of_micros(F.floor((_micros(x) - start) / micros) * micros + start)
 
 
+@register("date_add")
+def date_add(x, interval):
+    """A timestamp, also for a date."""
+    return col(x).cast("timestamp_ntz") + col(interval)
+
+
+@register("days_in_month")
+def days_in_month(x):
+    return F.day(F.last_day(col(x))).cast("long")
+
+
+@register("ago")
+def ago(interval):
+    return F.current_timestamp() - col(interval)
+
+
 @register()
 def timezone(zone: str, x):
     """The instant at which clocks in the zone show x."""

@@ -319,6 +319,27 @@ def url_encode(s):
     return F.replace(F.replace(F.replace(F.url_encode(col(s)), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
+def _little_endian(digits: Column, at: int) -> Column:
+    """Eight bytes of hexadecimal digits, the first lowest."""
+    return F.conv(F.concat(*[F.substring(digits, at + 2 * i, 2) for i in reversed(range(8))]), 16, 10).cast("decimal(20,0)")
+
+
+@register("md5_number_upper")
+def md5_number_upper(s):
+    return _little_endian(F.md5(col(s)), 1)
+
+
+@register("md5_number_lower")
+def md5_number_lower(s):
+    return _little_endian(F.md5(col(s)), 17)
+
+
+@register("regexp_split_to_table")
+def regexp_split_to_table(s, pattern: str):
+    """A row per part."""
+    return F.explode(F.split(col(s), pattern, -1))
+
+
 @register("md5_number")
 def md5_number(s):
     """The digest as a 128-bit number, in text (Spark's decimals end at 38 digits)."""

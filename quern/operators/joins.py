@@ -14,6 +14,18 @@ def _number(df: DataFrame, name: str) -> Column:
     return (c.cast("timestamp") if df.schema[name].dataType.typeName() in ("date", "timestamp", "timestamp_ntz") else c).cast("double")
 
 
+def _stretch(t: Column, cuts: list[float]) -> Column:
+    """How many of the sorted cuts are at most t, by halving."""
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(t < cuts[middle], among(low, middle)).otherwise(among(middle + 1, high))
+
+    return F.when(t.isNotNull(), among(0, len(cuts)))
+
+
 def asof_join(
     left: DataFrame, right: DataFrame, left_on: str, right_on: str, by: list[tuple[str, str]] | None = None, how: str = "left", op: str = ">=", buckets: int = 64
 ) -> DataFrame:
@@ -22,28 +34,31 @@ def asof_join(
     Rows with a null key or time match nothing.  how: inner, left, right, outer, semi or anti.  Of right rows at the same
     time any one may match.  Column names of the two sides must differ.
 
-    Both sides are laid out by key and by one of ``buckets`` stretches of time, so that one key's rows are spread over
-    tasks; a bucket takes over the last right row of those before it, found from one row a bucket.
+    Both sides are laid out by key and by one of ``buckets`` stretches of time with about as many rows, so that one key's
+    rows are spread over tasks; a stretch takes over the last right row of those before it, found from one row each.
+    Whole numbers and decimals are compared as such, also where a double can't tell them apart.
     """
     if op not in (">=", ">", "<=", "<"):
         raise ValueError("an as-of join takes one inequality: >=, >, <= or <")
     by = by or []
     forward = 1 if op[0] == ">" else -1
     rights = right.columns
-    edge = left.select(_number(left, left_on).alias("t")).unionByName(right.select(_number(right, right_on).alias("t"))).agg(F.min("t"), F.max("t")).first()
-    low, span = edge[0] or 0.0, max((edge[1] or 0.0) - (edge[0] or 0.0), 1e-9)
+    times = left.select(_number(left, left_on).alias("t")).unionByName(right.select(_number(right, right_on).alias("t")))
+    cuts = times.agg(F.approx_percentile("t", [i / buckets for i in range(1, buckets)], 1000)).first()[0]  # one short row
+    cuts = sorted(set(cuts or []))
     keys = [f"_k{i}" for i in range(len(by))]
     strict = len(op) == 1
     # At one time right rows come first, unless the comparison is strict.
-    l = left.select(*[F.col(a).alias(k) for (a, _), k in zip(by, keys, strict=True)], _number(left, left_on).alias("_t"), F.lit(1 - strict).alias("_side"), F.struct(*left.columns).alias("_l"), F.lit(None).cast(right.schema.simpleString()).alias("_r"))
-    r = right.select(*[F.col(b).alias(k) for (_, b), k in zip(by, keys, strict=True)], _number(right, right_on).alias("_t"), F.lit(int(strict)).alias("_side"), F.lit(None).cast(left.schema.simpleString()).alias("_l"), F.struct(*rights).alias("_r"))
+    l = left.select(*[F.col(a).alias(k) for (a, _), k in zip(by, keys, strict=True)], F.col(left_on).alias("_t"), F.lit(1 - strict).alias("_side"), F.struct(*left.columns).alias("_l"), F.lit(None).cast(right.schema.simpleString()).alias("_r"))
+    r = right.select(*[F.col(b).alias(k) for (_, b), k in zip(by, keys, strict=True)], F.col(right_on).alias("_t"), F.lit(int(strict)).alias("_side"), F.lit(None).cast(left.schema.simpleString()).alias("_l"), F.struct(*rights).alias("_r"))
     known = F.col("_t").isNotNull()
     for k in keys:
         known &= F.col(k).isNotNull()
-    both = l.unionByName(r.where(known)).withColumn("_t", F.col("_t") * forward)
-    bucket = F.least(F.floor(F.abs(F.col("_t") * forward - low) / span * buckets), F.lit(buckets - 1)) * forward
-    both = both.withColumn("_b", F.coalesce(bucket, F.lit(0)))
-    ends = both.where("_r is not null").groupBy(*keys, "_b").agg(F.max_by("_r", F.col("_t")).alias("_end"))
+    both = l.unionByName(r.where(known))
+    # A stretch by a number that follows the time's order; within it the times themselves are compared.
+    both = both.withColumn("_b", F.coalesce(_stretch(_number(both, "_t"), cuts) * forward, F.lit(0)))
+    best = F.max_by if forward > 0 else F.min_by
+    ends = both.where("_r is not null").groupBy(*keys, "_b").agg(best("_r", F.col("_t")).alias("_end"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     spots = both.select(*keys, "_b").distinct().join(ends, [*keys, "_b"], "left").withColumn("_carry", F.last("_end", ignorenulls=True).over(before))
     spots = spots.select(*[F.col(k).alias(f"_s{k}") for k in keys], F.col("_b").alias("_sb"), "_carry")
@@ -51,7 +66,7 @@ def asof_join(
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"_s{k}"))
     laid = both.join(spots, same, "left").select(*keys, "_b", "_t", "_side", "_l", "_r", "_carry")
-    inside = Window.partitionBy(*keys, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_b").orderBy(F.col("_t") if forward > 0 else F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, 0)
     found = laid.withColumn("_m", F.coalesce(F.last("_r", ignorenulls=True).over(inside), "_carry")).where("_l is not null")
     found = found.withColumn("_m", F.when(known, F.col("_m")))
     if how == "semi":

@@ -7,23 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.session import checkpointed
+
 
 def numbered(df: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
     """``df`` with each row's place (from 1) in a total order, without bringing all rows to one task.
 
     Rows are sorted in ranges; a range's first number comes from the counts of those before it.
     """
-    placed = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_id", 33))
+    # Written once: a second evaluation might deal the rows to ranges otherwise.
+    placed = checkpointed(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33)))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("_part", before.alias("_start"))
-    out = placed.join(starts, "_part").withColumn(name, F.col("_id") - F.shiftleft("_part", 33) + F.col("_start") + 1)
+    out = placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_id") - F.shiftleft("_part", 33) + F.col("_start") + 1)
     return out.select(*df.columns, name)
 
 
 def distinct_on(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Of each key's rows the first in ``order``: a minimum that is summed up before the shuffle, no sort."""
+    """Of each key's rows the first in ``order``: a minimum of which one a key and task is shuffled (Spark sorts by the key)."""
     names = [f"_o{i}" for i in range(len(order))]
     given = df.select("*", *[o.alias(n) for o, n in zip(order, names, strict=True)])
     rest = [c for c in df.columns if c not in keys]

@@ -14,39 +14,70 @@ def groups_frame(df: DataFrame, make: Callable[[object], Column], by: list[str],
     return ranked.withColumn(name, make(Window.partitionBy(*by).orderBy("_g").rangeBetween(low, high))).drop("_g")
 
 
-def exclude(value: str, by: list[str], order: str, low: int, high: int, what: str) -> Column:
-    """sum(value) over rows low..high, a frame that holds the current row, without it (CURRENT ROW), its peers (GROUP) or the
-    other peers (TIES)."""
+_LISTED: dict[str, Callable[[Column], Column]] = {
+    "sum": lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda x, v: x + v)),
+    "count": lambda a: F.size(a).cast("long"),
+    "min": F.array_min,
+    "max": F.array_max,
+    "avg": lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda x, v: x + v) / F.size(a)),
+}
+
+
+def exclude(value: str, by: list[str], order: str, low: int, high: int, what: str, how: str = "sum") -> Column:
+    """An aggregate (sum, count, min, max or avg) over rows low..high around the current row, without it (CURRENT ROW),
+    its peers (GROUP), the other peers (TIES) or none (NO OTHERS)."""
     w = Window.partitionBy(*by).orderBy(order)
-    whole = F.sum(value).over(w.rowsBetween(low, high))
-    count = F.count(value).over(w.rowsBetween(low, high))
-    if what == "CURRENT ROW":
-        less, fewer = F.coalesce(F.col(value), F.lit(0)), F.col(value).isNotNull().cast("long")
-        return F.when(count - fewer > 0, whole - less)
+    if what == "NO OTHERS":
+        return getattr(F, how)(value).over(w.rowsBetween(low, high))
+    if what == "CURRENT ROW":  # the frame before the row and the frame after it
+        spans = [(low, min(high, -1)), (max(low, 1), high)]
+        sides = lambda f: [f(value).over(w.rowsBetween(a, b)) for a, b in spans if a <= b]
+        total = lambda f: sum((F.coalesce(c, F.lit(0)) for c in sides(f)), F.lit(0))
+        n = total(F.count)
+        if how == "count":
+            return n
+        if how in ("min", "max"):
+            both = sides(getattr(F, how))
+            return both[0] if len(both) == 1 else (F.least if how == "min" else F.greatest)(*both)
+        return F.when(n > 0, total(F.sum) / n if how == "avg" else total(F.sum))
     # The frame is of a fixed number of rows, so its rows may be listed.
     everyone = F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))).over(w.rowsBetween(low, high))
-    kept = F.filter(everyone, lambda s: ~s["o"].eqNullSafe(F.col(order)))
-    total = lambda a: F.aggregate(F.filter(F.transform(a, lambda s: s["v"].cast("double")), lambda v: v.isNotNull()), F.lit(0.0), lambda x, v: x + v)
-    some = F.exists(kept, lambda s: s["v"].isNotNull())
-    if what == "GROUP":
-        return F.when(some, total(kept))
+    others = F.filter(everyone, lambda s: ~s["o"].eqNullSafe(F.col(order)))
+    values = F.filter(F.transform(others, lambda s: s["v"]), lambda v: v.isNotNull())
     if what == "TIES":
-        return F.when(some | F.col(value).isNotNull(), total(kept) + F.coalesce(F.col(value), F.lit(0)))
-    raise ValueError(f"EXCLUDE {what}")
+        values = F.concat(values, F.filter(F.array(F.col(value)), lambda v: v.isNotNull()))
+    elif what != "GROUP":
+        raise ValueError(f"EXCLUDE {what}")
+    return _LISTED[how](F.transform(values, lambda v: v.cast("double")) if how in ("sum", "avg") else values)
 
 
 def fill(value: str, by: list[str], order: str) -> Column:
-    """Nulls of ``value`` on the line between the nearest known neighbours along a numeric ``order``; beyond the outermost its value."""
+    """Nulls of ``value`` on the line through the nearest known neighbours along a numeric ``order``; beyond the outermost
+    known ones on the line through the nearest two, and with one known value that value."""
     w = Window.partitionBy(*by).orderBy(order)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(order).cast("double").alias("x"), F.col(value).cast("double").alias("y")))
-    before = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    to, since = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    before, after = F.last(known, ignorenulls=True).over(to), F.first(known, ignorenulls=True).over(since)
+    first, last = (F.nth_value(known, 1, ignoreNulls=True).over(Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for o in (order, F.desc(order)))
+    second, last_but_one = (F.nth_value(known, 2, ignoreNulls=True).over(Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for o in (order, F.desc(order)))
+    a = F.when(before.isNull(), first).when(after.isNull(), last_but_one).otherwise(before)
+    b = F.when(before.isNull(), second).when(after.isNull(), last).otherwise(after)
     x = F.col(order).cast("double")
-    line = before["y"] + (after["y"] - before["y"]) * (x - before["x"]) / F.nullif(after["x"] - before["x"], F.lit(0.0))
+    line = a["y"] + (b["y"] - a["y"]) * (x - a["x"]) / F.nullif(b["x"] - a["x"], F.lit(0.0))
     return F.coalesce(F.col(value).cast("double"), line, before["y"], after["y"])
 
 
+def distinct_aggregate(df: DataFrame, aggregate: Callable[[str], Column], value: str, by: list[str], name: str, where: Column | None = None) -> DataFrame:
+    """aggregate(DISTINCT value) [FILTER (where)] over a partition, joined back; null keys are keys like any other."""
+    chosen = df if where is None else df.where(where)
+    keys = [f"_k{i}" for i in range(len(by))]
+    found = chosen.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.col(value).alias("_v")).distinct().groupBy(*keys).agg(aggregate("_v").alias(name))
+    same = F.lit(True)
+    for b, k in zip(by, keys, strict=True):
+        same &= F.col(b).eqNullSafe(F.col(k))
+    return df.join(found, same, "left").drop(*keys)
+
+
 def distinct_sum(df: DataFrame, value: str, by: list[str], name: str) -> DataFrame:
     """sum(DISTINCT value) over a partition, joined back."""
-    sums = df.groupBy(*by).agg(F.sum_distinct(F.col(value)).alias(name))
-    return df.join(sums, by)
+    return distinct_aggregate(df, F.sum, value, by, name)

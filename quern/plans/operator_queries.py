@@ -121,9 +121,9 @@ def unnest(spark, sf_dir):
     return rows.unnest(p, ["a", "b"])
 
 
-@query("PIVOT (SELECT o_orderpriority, o_orderstatus, o_totalprice FROM orders) ON o_orderstatus USING max(o_totalprice) GROUP BY o_orderpriority")
+@query("SELECT o_orderpriority, max(o_totalprice) FILTER (o_orderstatus = 'F') AS F, max(o_totalprice) FILTER (o_orderstatus = 'O') AS O, max(o_totalprice) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY o_orderpriority")
 def pivot(spark, sf_dir):
-    return rows.pivot(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderstatus", F.max("o_totalprice"))
+    return rows.pivot(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderstatus", F.max("o_totalprice"), ["F", "O", "P"])
 
 
 @query("UNPIVOT (SELECT s_suppkey, s_acctbal, s_nationkey::DOUBLE AS s_nationkey FROM supplier) ON s_acctbal, s_nationkey INTO NAME name VALUE value")
@@ -175,14 +175,10 @@ def window_exclude_ties(spark, sf_dir):
     return _sold(spark, sf_dir).select("l_suppkey", "l_orderkey", windows.exclude("q", ["l_suppkey"], "l_orderkey", -2, 2, "TIES").alias("s"))
 
 
-@query("""
-WITH k AS (SELECT s_suppkey AS x, CASE WHEN s_suppkey % 3 = 1 THEN s_acctbal END AS y FROM supplier WHERE s_suppkey BETWEEN (SELECT min(s_suppkey) FROM supplier WHERE s_suppkey % 3 = 1) AND (SELECT max(s_suppkey) FROM supplier WHERE s_suppkey % 3 = 1))
-SELECT x, round(fill(y ORDER BY x) OVER (ORDER BY x), 4) AS y FROM k""")
+@query("SELECT s_suppkey, round(fill(CASE WHEN s_suppkey % 3 = 1 THEN s_acctbal END ORDER BY s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), 4) AS y FROM supplier")
 def window_fill(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    k = s.where("s_suppkey % 3 = 1").agg(F.min("s_suppkey").alias("a"), F.max("s_suppkey").alias("b"))
-    t = s.join(F.broadcast(k), F.col("s_suppkey").between(F.col("a"), F.col("b"))).select(F.col("s_suppkey").alias("x"), F.expr("CASE WHEN s_suppkey % 3 = 1 THEN s_acctbal END").alias("y"), F.lit(1).alias("g"))
-    return t.select("x", F.round(windows.fill("y", ["g"], "x"), 4).alias("y"))
+    t = table(spark, sf_dir, "supplier").withColumn("y", F.expr("CASE WHEN s_suppkey % 3 = 1 THEN s_acctbal END"))
+    return t.select("s_suppkey", F.round(windows.fill("y", ["s_nationkey"], "s_suppkey"), 4).alias("y"))
 
 
 @query("SELECT l_orderkey, l_linenumber, sum(DISTINCT l_quantity) OVER (PARTITION BY l_suppkey) AS s FROM lineitem")
@@ -190,6 +186,52 @@ def window_distinct(spark, sf_dir):
     return windows.distinct_sum(table(spark, sf_dir, "lineitem"), "l_quantity", ["l_suppkey"], "s").select("l_orderkey", "l_linenumber", "s")
 
 
+_KEYED = "(SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS k, c_nationkey, c_acctbal FROM customer)"
+
+
+def _keyed(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", F.expr("CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END").alias("k"), "c_nationkey", "c_acctbal")
+
+
+@query(f"SELECT c_custkey, sum(DISTINCT c_nationkey) OVER (PARTITION BY k) AS s, count(DISTINCT c_nationkey) FILTER (c_acctbal > 0) OVER (PARTITION BY k) AS n FROM {_KEYED}")
+def window_distinct_null_keys(spark, sf_dir):
+    one = windows.distinct_sum(_keyed(spark, sf_dir), "c_nationkey", ["k"], "s")
+    return windows.distinct_aggregate(one, F.count, "c_nationkey", ["k"], "n", F.col("c_acctbal") > 0).select("c_custkey", "s", "n")
+
+
+@query(f"SELECT k, round(mad(c_acctbal), 2) AS mad FROM {_KEYED} GROUP BY k")
+def agg_mad_null_keys(spark, sf_dir):
+    return aggregates.mad(_keyed(spark, sf_dir), ["k"], "c_acctbal").withColumn("mad", F.round("mad", 2))
+
+
+_INFINITE = "(SELECT l_suppkey, l_orderkey, CASE WHEN l_orderkey % 50 = 0 THEN 'inf'::DOUBLE ELSE sum(l_quantity) END AS q FROM lineitem GROUP BY l_suppkey, l_orderkey)"
+
+
+def _excluding(what: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sold = _sold(spark, sf_dir).withColumn("q", F.when(F.col("l_orderkey") % 50 == 0, F.lit(float("inf"))).otherwise(F.col("q")))
+        found = [windows.exclude("q", ["l_suppkey"], "l_orderkey", -2, 2, what, how).alias(f"a_{how}") for how in ("sum", "count", "min", "max", "avg")]
+        return sold.select("l_suppkey", "l_orderkey", *found).withColumn("a_avg", F.round("a_avg", 6))
+
+    return run
+
+
+for _name, _what in (("window_exclude_any", "CURRENT ROW"), ("window_exclude_group_any", "GROUP"), ("window_exclude_ties_any", "TIES"), ("window_exclude_none", "NO OTHERS")):
+    _frame = f"OVER (PARTITION BY l_suppkey ORDER BY l_orderkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING EXCLUDE {_what})"
+    QUERIES[_name] = _excluding(_what)
+    ORACLE_SQL[_name] = "SELECT l_suppkey, l_orderkey, " + ", ".join(f"{'round(' * (h == 'avg')}{h}(q) {_frame}{', 6)' * (h == 'avg')} AS a_{h}" for h in ("sum", "count", "min", "max", "avg")) + f" FROM {_INFINITE}"
+
+
+_BIG = "9007199254740992"
+
+
+@query(f"SELECT o_orderkey, b FROM (SELECT o_orderkey, o_custkey, o_orderkey + {_BIG} AS a FROM orders) ASOF JOIN (SELECT c_custkey, c_custkey * 3 + 1 + {_BIG} AS b, c_nationkey FROM customer) ON o_custkey % 25 = c_nationkey AND a > b")
+def asof_big_numbers(spark, sf_dir):
+    a = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 25).cast("int").alias("k"), (F.col("o_orderkey") + int(_BIG)).alias("a"))
+    b = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 3 + 1 + int(_BIG)).alias("b"), "c_nationkey")
+    return joins.asof_join(a, b, "a", "b", [("k", "c_nationkey")], "inner", ">").select("o_orderkey", "b")
+
+
 _D = "(SELECT c_nationkey AS k FROM customer WHERE c_nationkey < 15)", "(SELECT s_nationkey AS k FROM supplier WHERE s_nationkey > 5)"
 
 

@@ -28,18 +28,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _ensure_folder(spark: SparkSession) -> None:
+    """A checkpoint folder of our own only in a local session that names none."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the folder in spark.checkpoint.dir, its lineage cut; a folder of our own only where none is set."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
+    _ensure_folder(spark)
     return df.checkpoint(eager=True)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one in spark.checkpoint.dir, which driver and executors share; a local one only where none is set."""
+    _ensure_folder(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
-        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/quern-{name}-{uuid.uuid4().hex}"

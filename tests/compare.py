@@ -1,4 +1,4 @@
-"""Runs a query and its DuckDB SQL over the same tables and compares the rows, whatever their order."""
+"""Runs a query and its SQL over the same tables and compares the rows, whatever their order."""
 
 from __future__ import annotations
 

@@ -1,11 +1,11 @@
-"""Every query of the library that has SQL, against DuckDB over the same tables."""
+"""Every query of the library that has SQL, against another engine over the same tables."""
 
 import compare
 import pytest
 
-from quern.plans import function_cases, io_queries, operator_queries, sql_queries
+from quern.plans import client_queries, function_cases, io_queries, more_function_cases, operator_queries, sql_queries
 
-SETS = (sql_queries, operator_queries, io_queries, function_cases)
+SETS = (sql_queries, operator_queries, io_queries, function_cases, more_function_cases, client_queries)
 QUERIES = {n: (m.QUERIES[n], m.ORACLE_SQL[n]) for m in SETS for n in m.QUERIES if n in m.ORACLE_SQL}
 
 
