@@ -243,9 +243,10 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
 def drop_near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     """The rows of ``docs`` that stand for their group: those whose doc_id is its component id, once each.
 
-    Rows with a null doc_id stay only where their whole group has no doc_id; rows that repeat a doc_id are one.
+    Rows with a null doc_id stay only where their whole group has no doc_id.  Rows that repeat a doc_id and text are
+    one; of a doc_id with several texts those stay whose group has that id.
     """
     found = near_duplicates(docs, radius, width).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = found.select(F.col("doc_id").alias("_kept_id")).distinct()
     same = docs["doc_id"].eqNullSafe(keep["_kept_id"])
-    return docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(keep, same, "left_semi").dropDuplicates(["doc_id", "text"])
