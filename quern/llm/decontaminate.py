@@ -6,7 +6,9 @@ is aligned with the item, word by word; the score is the local alignment's, as a
 against itself would get.  The stretch is as long as the score LEAST leaves room for gaps, and is left out
 only where the item's words that it holds, matched in any order, can't reach that score.
 
-Test items go to the tasks in blocks of at most BLOCK_WORDS words; a larger benchmark takes more scans.
+A benchmark of at most BLOCK_WORDS words goes to the tasks whole, which then scan the texts once and shuffle nothing.
+A larger one stays a table: Spark joins the n-grams of the texts to those of the items, and then the pairs of text
+and item that share one to their words, for the same alignment.  Texts that are alike are one there.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_arrow
+from quern.llm.common import checkpointed, map_arrow
 
 #: Words of a seed.
 N = 3
@@ -132,20 +135,52 @@ def matches(text: str | None, items: Items, least: float = LEAST) -> list[tuple[
     return list(out.values())
 
 
-def _blocks(benchmark: DataFrame) -> list[Items]:
-    """The test items with a word, in blocks.  Null ids and texts are no items; items come in the order of id."""
-    rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text")
-    blocks: list[list[tuple[int, str]]] = [[]]
-    words = 0
-    for item_id, text in rows.toLocalIterator():
-        n = len(WORD.findall(text))
-        if n and words + n > BLOCK_WORDS and blocks[-1]:
-            blocks.append([])
-            words = 0
-        if n:
-            blocks[-1].append((item_id, text))
-            words += n
-    return [Items.of(b) for b in blocks if b]
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text) of the test items.  Null ids and texts are no items."""
+    return benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+
+
+def _small(items: DataFrame) -> Items | None:
+    """All items, in the order of id, if their words are few enough for every task to have them."""
+    size = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0  # not fewer than the words
+    if size > BLOCK_WORDS:
+        return None
+    return Items.of([(i, t) for i, t in items.orderBy("item_id", "text").collect() if WORD.search(t)])
+
+
+def _n_grams(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(key, gram): the distinct n-grams of each text, as hashes."""
+    keys, grams = [], []
+    for i, text in enumerate(batch.column(1).to_pylist()):
+        words = WORD.findall((text or "").lower())
+        found = {xxhash.xxh64_intdigest(" ".join(words[k : k + N])) for k in range(len(words) - N + 1)}
+        grams.append(np.fromiter(found, np.uint64, len(found)))
+        keys.append(np.full(len(found), i))
+    columns = [batch.column(0).take(pa.array(np.concatenate(keys).astype(np.int64))), pa.array(np.concatenate(grams).view(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, ["key", "gram"])
+
+
+def _joined(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
+    """(key, item_id, score, first_word, last_word) of the texts (key, text), by a join of n-grams."""
+    of_texts = map_arrow(docs.select("key", "text"), _n_grams, "key string, gram long").distinct()
+    of_items = map_arrow(items, _n_grams, "key long, gram long").withColumnRenamed("key", "item_id")
+    pairs = of_texts.join(of_items, "gram").select("key", "item_id").distinct()
+    texts = docs.join(pairs.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]).select("key", "text")
+    both = pairs.join(texts, "key").join(items.withColumnRenamed("text", "item"), "item_id").select("key", "text", "item_id", "item")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        rows = [(k, *m) for k, t, i, item in zip(*(c.to_pylist() for c in batch.columns), strict=True) for m in matches(t, Items.of([(i, item)]), least)]
+        if not rows:
+            return None
+        kinds = [pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "item_id", "score", "first_word", "last_word"])
+
+    found = map_arrow(both, run, "key string, item_id long, score double, first_word long, last_word long")
+    return checkpointed(found)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("string")).where("text is not null").withColumn("key", F.sha2("text", 256))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
@@ -155,38 +190,40 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFra
     each; an empty table gives no rows.  Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, score double, first_word long, last_word long"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    items = _items(benchmark)
+    small = _small(items)
+    if small is None:
+        keyed = _keyed(docs)
+        return keyed.join(_joined(keyed, items, least), "key").select("doc_id", "item_id", "score", "first_word", "last_word")
+    shared = docs.sparkSession.sparkContext.broadcast(small)
 
-        def search(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch | None:
-            found = [(i, m) for i, t in enumerate(batch.column(1).to_pylist()) for m in matches(t, shared.value, least)]
-            if not found:
-                return None
-            which, rows = zip(*found, strict=True)
-            ids, scores, first, last = zip(*rows, strict=True)
-            columns = [batch.column(0).take(pa.array(which)), pa.array(ids, pa.int64()), pa.array(scores), pa.array(first, pa.int64()), pa.array(last, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "first_word", "last_word"])
+    def search(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        found = [(i, m) for i, t in enumerate(batch.column(1).to_pylist()) for m in matches(t, shared.value, least)]
+        if not found:
+            return None
+        which, rows = zip(*found, strict=True)
+        ids, scores, first, last = zip(*rows, strict=True)
+        columns = [batch.column(0).take(pa.array(which)), pa.array(ids, pa.int64()), pa.array(scores), pa.array(first, pa.int64()), pa.array(last, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "first_word", "last_word"])
 
-        out = out.unionByName(map_arrow(docs.select("doc_id", F.col("text").cast("string")), search, schema))
-    return out
+    return map_arrow(docs.select("doc_id", F.col("text").cast("string")), search, f"doc_id {kind}, item_id long, score double, first_word long, last_word long")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with their columns; nothing is shuffled."""
+    """The rows of ``docs`` that hold no test item, with their columns."""
+    items = _items(benchmark)
+    small = _small(items)
     names = [f"_doc_{i}" for i in range(len(docs.columns))]
-    out = docs
-    for items in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
-        def clean(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            own = shared.value
-            return batch.filter(pa.array([not matches(t, own, least) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.bool_()))
-
-        given = out.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("text").cast("string").alias("_text"))
-        kept = map_arrow(given, clean, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema))
-        out = kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
-    return out
-
-
+    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("text").cast("string").alias("_text"))
+    back = [F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)]
+    if small is None:
+        keys = _joined(_keyed(docs), items, least).select(F.col("key").alias("_key")).distinct()
+        return given.withColumn("_key", F.coalesce(F.sha2("_text", 256), F.lit(""))).join(keys, "_key", "left_anti").select(*back)
+    shared = docs.sparkSession.sparkContext.broadcast(small)
+
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = shared.value
+        return batch.filter(pa.array([not matches(t, own, least) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.bool_()))
+
+    kept = map_arrow(given, clean, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema))
+    return kept.select(*back)

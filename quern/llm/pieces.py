@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import SLICE
 
-#: Parts that a worker remembers; then it forgets them all.
-REMEMBERED = 300_000
+#: Parts that a worker remembers of late, and as many from before.
+REMEMBERED = 200_000
 UNIT, SHIFT, BYTE_EXTRA = 1_000_000, 2.7, 2.0
 
 Path = tuple[int, tuple[int, ...]]
@@ -57,6 +57,7 @@ class Lattice:
             self.matches.add_word(p, (len(p), i, cost))
         self.matches.make_automaton()
         self.known: dict[str, tuple[bytes, int]] = {}
+        self.before: dict[str, tuple[bytes, int]] = {}
         self.alternatives: dict[tuple[str, int], list[Path]] = {}
         self.decoded = {i: p.encode() for p, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
 
@@ -165,8 +166,8 @@ class Lattice:
 
     def _chunk(self, chunk: str) -> tuple[bytes, int]:
         if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        out = self.known[chunk] = self.best(chunk)
+            self.known, self.before = {}, self.known
+        out = self.known[chunk] = self.before.get(chunk) or self.best(chunk)
         return out
 
     def _search(self, part: str, n: int) -> list[Path]:
@@ -197,11 +198,13 @@ class Lattice:
         for _, at, part, size in options:
             paths = self._search(part, n)
             choices.append([(cost - paths[0][0], at, size, own) for cost, own in paths])
-        ways = sorted(((sum(c[0] for c in way), i, way) for i, way in enumerate(itertools.product(*choices))), key=lambda w: w[:2])[:n]
+        ways: list[tuple[int, tuple[int, ...]]] = [(0, ())]
+        for paths in choices:  # the n best sums so far; of equal ones the first
+            ways = sorted((more + path[0], (*way, k)) for more, way in ways for k, path in enumerate(paths))[:n]
         out = []
-        for more, _, way in ways:
+        for more, way in ways:
             pieces, at = [], 0
-            for _, start, size, own in sorted(way, key=lambda c: c[1]):
+            for _, start, size, own in sorted([paths[k] for paths, k in zip(choices, way, strict=True)], key=lambda c: c[1]):
                 pieces += [ids[at:start], np.array(own, np.int32)]
                 at = start + size
             out.append((more, np.concatenate([*pieces, ids[at:]])))
