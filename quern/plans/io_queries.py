@@ -72,6 +72,48 @@ def series_times(spark, sf_dir):
     return files.generate_times(spark, "2024-01-01 00:00:00", "2024-01-03 00:00:00", "5 HOURS")
 
 
+@query("SELECT unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-03', INTERVAL 6 HOURS)) AS value")
+def series_times_open(spark, sf_dir):
+    return files.generate_times(spark, "2024-01-01 00:00:00", "2024-01-03 00:00:00", "6 HOURS", inclusive=False)
+
+
+@query("SELECT count(*) AS rows, 1 AS columns, true AS noted FROM orders")
+def parquet_file_footers(spark, sf_dir):
+    path = shared_folder(spark, "footers")
+    sinks.copy_to(table(spark, sf_dir, "orders").select("o_orderkey"), path)
+    noted = files.parquet_kv_metadata(spark, f"{path}/*.parquet").where(F.decode("key", "UTF-8") == "org.apache.spark.version").agg((F.count("*") > 0).alias("noted"))
+    found = files.parquet_file_metadata(spark, f"{path}/*.parquet").agg(F.sum("rows").alias("rows"), F.max("columns").cast("int").alias("columns"))
+    return found.join(F.broadcast(noted))  # a row each
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")
+def csv_reject_lines(spark, sf_dir):
+    path = shared_folder(spark, "rejects")
+    bad = F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("x"), "c_custkey")).otherwise(F.col("c_custkey").cast("string"))
+    sinks.copy_to(table(spark, sf_dir, "customer").select(bad.alias("k"), "c_acctbal"), path, "csv", header="true")
+    return files.csv_rejects(spark, path, "k long, c_acctbal double", header="true").select(F.regexp_extract("line", "^x([0-9]+)", 1).cast("long").alias("c_custkey"))
+
+
+@query("SELECT p_partkey, p_name FROM part")
+def csv_with_options(spark, sf_dir):
+    path = shared_folder(spark, "options")
+    sinks.copy_to(table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") >= 0, F.col("p_name")).alias("p_name")), path, "csv", header="false", sep="^", nullValue="NA")
+    return files.read_csv(spark, path, "p_partkey long, p_name string", "^", False, **files.csv_options(nullstr="NA", comment="#", encoding="UTF-8"))
+
+
+@query("SELECT (-128)::TINYINT AS tinyint, 32767::SMALLINT AS smallint, 9223372036854775807 AS bigint, '9999-12-31 23:59:59.999999'::TIMESTAMP AS timestamp_ntz, [42, 999, NULL] AS int_array, 1 AS nulls")
+def all_types(spark, sf_dir):
+    t = files.all_types(spark)
+    return t.agg(F.min("tinyint").alias("tinyint"), F.max("smallint").alias("smallint"), F.max("bigint").alias("bigint"), F.max("timestamp_ntz").alias("timestamp_ntz"), F.max_by("int_array", F.size("int_array")).alias("int_array"), F.count_if(F.col("date").isNull()).alias("nulls"))
+
+
+@query("""SELECT start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 2 HOURS, ts), time_bucket(INTERVAL 2 HOURS, ts) - INTERVAL 2 HOURS, time_bucket(INTERVAL 2 HOURS, ts) - INTERVAL 4 HOURS]) AS start FROM events) GROUP BY ALL""")
+def stream_sliding(spark, sf_dir):
+    stream = windows.file_stream(spark, f"{sf_dir}/events.parquet*", EVENTS.replace("timestamp_ntz", "timestamp"))
+    out = windows.run_to_folder(windows.sliding(stream, "ts", "6 hours", "2 hours", "1000 days", ["event_type"], "value"), shared_folder(spark, "sliding"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
 @query("SELECT 7 AS a, 'x' AS b FROM range(5)")
 def repeated_row(spark, sf_dir):
     return files.repeat_row(spark, {"a": 7, "b": "x"}, 5)

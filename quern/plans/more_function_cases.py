@@ -195,6 +195,34 @@ def fn_subscripts(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", f("generate_subscripts", F.split("p_type", " ")).alias("place"))
 
 
+_LINE, _AREA = "01020000000200000000000000000000000000000000000000000000000000F03F0000000000000040", "01030000000100000004000000000000000000000000000000000000000000000000000840000000000000000000000000000008400000000000000840" + "0" * 32
+
+
+@query(f"""SELECT s_suppkey, st_astext(st_geomfromwkb(from_hex('{_LINE}'))) AS line, st_astext(st_geomfromwkb(from_hex('{_AREA}'))) AS area, hex(st_aswkb(st_geomfromwkb(from_hex('{_LINE}')))) AS raw,
+st_crs(st_setcrs(st_geomfromwkb(from_hex('{_LINE}')), 'EPSG:4326')) AS crs, st_intersects_extent(st_geomfromwkb(from_hex('{_LINE}')), st_geomfromwkb(from_hex('{_AREA}'))) AS meets,
+st_intersects_extent(('POINT(' || s_suppkey || ' 1)')::GEOMETRY, st_geomfromwkb(from_hex('{_AREA}'))) AS inside FROM supplier""")
+def fn_geometry(spark, sf_dir):
+    shape = lambda raw: f("st_geomfromwkb", F.unhex(F.lit(raw)))
+    double = F.udf(lambda x: bytearray(__import__("struct").pack("<d", x)), "binary")
+    point = f("st_geomfromwkb", F.concat(F.unhex(F.lit("0101000000")), double(F.col("s_suppkey").cast("double")), F.unhex(F.lit("000000000000F03F"))))
+    return table(spark, sf_dir, "supplier").select(
+        "s_suppkey", f("st_astext", shape(_LINE)).alias("line"), f("st_astext", shape(_AREA)).alias("area"), F.hex(f("st_aswkb", shape(_LINE))).alias("raw"),
+        f("st_crs", f("st_setcrs", shape(_LINE), "EPSG:4326")).alias("crs"), f("st_intersects_extent", shape(_LINE), shape(_AREA)).alias("meets"), f("st_intersects_extent", point, shape(_AREA)).alias("inside"),
+    )
+
+
+@query("SELECT event_id, (props->>'k')::BIGINT AS a, json_extract_string(props, '$.k') AS b, json_valid(props) AS c FROM events")
+def json_access(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", F.from_json("props", "k long")["k"].alias("a"), F.get_json_object("props", "$.k").alias("b"), F.try_parse_json("props").isNotNull().alias("c"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment COLLATE NOCASE = 'building' AND strip_accents('Éa') COLLATE NOCASE = 'ea'")
+def collated(spark, sf_dir):
+    same = F.collate(F.col("c_mktsegment"), "UTF8_LCASE") == "building"
+    return table(spark, sf_dir, "customer").where(same & (F.collate(F.lit("Éa"), "UNICODE_CI_AI") == "ea")).select("c_custkey")
+
+
 @query("SELECT s_suppkey, s_acctbal > 4000 AS rich FROM supplier")
 def fn_variable(spark, sf_dir):
     general.set_variable(spark, "quern_limit", 4000)

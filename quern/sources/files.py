@@ -43,6 +43,31 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: str | None = N
     return (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(paths)
 
 
+def csv_rejects(spark: SparkSession, paths: str | list[str], schema: str, limit: int | None = None, **options: str) -> DataFrame:
+    """(file, line): lines that don't fit the schema, ``limit`` of them at most (a report's limit, not the reader's)."""
+    found = spark.read.options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_rejected").schema(f"{schema}, _rejected string").csv(paths)
+    # All columns are read, since a line is only parsed as far as columns are asked for.
+    found = found.select("*", F.col("_metadata.file_name").alias("_file"))
+    asked = F.xxhash64(*[F.col(f"`{c}`") for c in found.columns]) % 2 < 2  # holds for every row
+    bad = found.where(F.col("_rejected").isNotNull() & asked).select(F.col("_file").alias("file"), F.col("_rejected").alias("line"))
+    return bad if limit is None else bad.limit(limit)
+
+
+#: Names of CSV options as users give them, and as Spark's reader has them.
+CSV_OPTIONS = {
+    "delim": "sep", "new_line": "lineSep", "nullstr": "nullValue", "dateformat": "dateFormat", "timestampformat": "timestampFormat", "comment": "comment", "encoding": "encoding",
+    "max_line_size": "maxCharsPerColumn", "maximum_line_size": "maxCharsPerColumn", "compression": "compression", "quote": "quote", "escape": "escape", "sep": "sep",
+}
+
+
+def csv_options(**given: object) -> dict[str, str]:
+    """Spark's options for CSV options by their usual names."""
+    unknown = set(given) - set(CSV_OPTIONS)
+    if unknown:
+        raise ValueError(f"no such CSV option here: {', '.join(sorted(unknown))}")
+    return {CSV_OPTIONS[k]: str(v) for k, v in given.items()}
+
+
 def sniff_csv(spark: SparkSession, path: str, lines: int = 50) -> dict[str, object]:
     """Delimiter, quote and header of a CSV file, from its first lines."""
     head = [r[0] for r in spark.read.text(path).limit(lines).collect()]  # a bounded sample
@@ -88,9 +113,66 @@ def glob(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.createDataFrame([(s.getPath().toString(),) for s in found], "file string")
 
 
+def _footers(spark: SparkSession, paths: str) -> DataFrame:
+    """(file, tail): each Parquet file's footer, framed as a file without rows, read through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    out = []
+    for (name,) in glob(spark, paths).collect():
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        length = system.getFileStatus(path).getLen()
+        stream = system.open(path)
+        try:
+            size = int.from_bytes(_bytes(jvm, stream, length - 8, 4), "little")
+            out.append((name, bytearray(b"PAR1" + _bytes(jvm, stream, length - 8 - size, size + 8))))
+        finally:
+            stream.close()
+    return spark.createDataFrame(out, "file string, tail binary")
+
+
+def _bytes(jvm, stream, at: int, n: int) -> bytes:
+    stream.seek(at)
+    return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n))
+
+
+def parquet_file_metadata(spark: SparkSession, paths: str) -> DataFrame:
+    """(file, rows, row_groups, columns, created_by, format_version) of each file."""
+
+    def run(batches):
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = [(f, pq.read_metadata(io.BytesIO(t))) for f, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            rows = [(f, m.num_rows, m.num_row_groups, m.num_columns, m.created_by, m.format_version) for f, m in found]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["file", "rows", "row_groups", "columns", "created_by", "format_version"])
+
+    return _footers(spark, paths).mapInArrow(run, "file string, rows long, row_groups long, columns long, created_by string, format_version string")
+
+
+def parquet_kv_metadata(spark: SparkSession, paths: str) -> DataFrame:
+    """(file, key, value): what writers noted in the footers."""
+
+    def run(batches):
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = [(f, k, v) for f, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k, v in (pq.read_metadata(io.BytesIO(t)).metadata or {}).items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.binary(), pa.binary()), strict=True)], ["file", "key", "value"])
+
+    return _footers(spark, paths).mapInArrow(run, "file string, key binary, value binary")
+
+
 def parquet_metadata(spark: SparkSession, paths: str) -> DataFrame:
     """(file, row_group, column, type, rows, compressed, uncompressed, min, max): footers, read where Spark puts the files."""
-    names = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
+    names = _footers(spark, paths)
 
     def run(batches):
         import io
@@ -100,8 +182,8 @@ def parquet_metadata(spark: SparkSession, paths: str) -> DataFrame:
 
         for batch in batches:
             rows = []
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                meta = pq.read_metadata(io.BytesIO(content))
+            for file, tail in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                meta = pq.read_metadata(io.BytesIO(tail))
                 for g in range(meta.num_row_groups):
                     for c in range(meta.num_columns):
                         x = meta.row_group(g).column(c)
@@ -124,9 +206,22 @@ def generate_series(spark: SparkSession, start: int, stop: int, step: int = 1, i
     return spark.range(start, stop + (1 if step > 0 else -1) * inclusive, step).select(F.col("id").alias("value"))
 
 
-def generate_times(spark: SparkSession, start: str, stop: str, step: str) -> DataFrame:
-    """Timestamps from start to stop, both included; step as an interval."""
-    return spark.sql(f"SELECT explode(sequence(CAST(:a AS timestamp_ntz), CAST(:b AS timestamp_ntz), INTERVAL {step})) AS value", args={"a": start, "b": stop})
+def generate_times(spark: SparkSession, start: str, stop: str, step: str, inclusive: bool = True) -> DataFrame:
+    """Timestamps from start to stop, the last included or not; step as an interval."""
+    out = spark.sql(f"SELECT explode(sequence(CAST(:a AS timestamp_ntz), CAST(:b AS timestamp_ntz), INTERVAL {step})) AS value", args={"a": start, "b": stop})
+    return out if inclusive else out.where(F.col("value") < F.lit(stop).cast("timestamp_ntz"))
+
+
+def all_types(spark: SparkSession) -> DataFrame:
+    """Three rows (least, largest, null) with a column of each type that a query may meet."""
+    kinds = {
+        "tinyint": (-128, 127), "smallint": (-32768, 32767), "int": (-(1 << 31), (1 << 31) - 1), "bigint": (-(1 << 63), (1 << 63) - 1), "float": ("-3.4028234e38", "3.4028234e38"),
+        "double": ("-1.7976931348623157e308", "1.7976931348623157e308"), "decimal(18,4)": ("-99999999999999.9999", "99999999999999.9999"), "boolean": (False, True), "string": ("", "goo"),
+        "date": ("0001-01-01", "9999-12-31"), "timestamp_ntz": ("0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"),
+    }
+    rows = [[F.lit(v[i] if i < 2 else None).cast("string").cast(k).alias(k.split("(")[0]) for k, v in kinds.items()] for i in range(3)]
+    nested = [(F.array().cast("array<int>"), F.lit(0)), (F.array(F.lit(42), F.lit(999), F.lit(None)), F.lit(1)), (F.lit(None).cast("array<int>"), F.lit(2))]
+    return spark.range(1).select(F.explode(F.array(*[F.struct(*r, a.alias("int_array"), n.alias("row")) for r, (a, n) in zip(rows, nested, strict=True)])).alias("r")).select("r.*")
 
 
 def repeat_row(spark: SparkSession, values: dict[str, object], n: int) -> DataFrame:

@@ -19,6 +19,12 @@ def tumbling(stream: DataFrame, time: str, width: str, late: str, keys: list[str
     return out.select(F.col("window.start").alias("start"), *keys, "n", "total")
 
 
+def sliding(stream: DataFrame, time: str, width: str, slide: str, late: str, keys: list[str], value: str) -> DataFrame:
+    """As tumbling, with a window of ``width`` beginning every ``slide``."""
+    out = stream.withWatermark(time, late).groupBy(F.window(time, width, slide), *keys).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
+    return out.select(F.col("window.start").alias("start"), *keys, "n", "total")
+
+
 def sessions(stream: DataFrame, time: str, gap: str, late: str, keys: list[str]) -> DataFrame:
     out = stream.withWatermark(time, late).groupBy(F.session_window(time, gap), *keys).agg(F.count("*").alias("n"))
     return out.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n")
