@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quern.session import checkpointed
 
@@ -22,11 +22,17 @@ def union_by_name(a: DataFrame, b: DataFrame, all_: bool = True) -> DataFrame:
 def recursive_union(seed: DataFrame, step: Callable[[DataFrame], DataFrame], max_rounds: int = 1000) -> DataFrame:
     """WITH RECURSIVE ... UNION: step(new rows) until it gives none that is not there yet.  Each round is checkpointed."""
     found = new = checkpointed(seed.distinct())
+    parts = [found]
     for _ in range(max_rounds):
-        new = checkpointed(step(new).select(*[F.col(b).alias(a) for a, b in zip(found.columns, step(new).columns, strict=True)]).distinct().subtract(found))
+        made = step(new)
+        new = checkpointed(made.toDF(*found.columns).distinct().subtract(found))
         if new.isEmpty():
             return found
-        found = checkpointed(found.unionByName(new))
+        parts.append(new)  # rounds are written once, and again only when there are many
+        found = reduce(DataFrame.unionByName, parts)
+        if len(parts) > 16:
+            found = checkpointed(found)
+            parts = [found]
     raise RuntimeError(f"no end after {max_rounds} rounds")
 
 

@@ -72,11 +72,11 @@ TEXTS: dict[str, str] = {
     "except": "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier GROUP BY s_nationkey HAVING avg(s_acctbal) > 4500",
     "except_all": "SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier",
     # reports
-    "q1_pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_base_price, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS sum_disc_price, CAST(sum(CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DECIMAL(24,6))) AS DOUBLE) AS sum_charge, round(avg(l_quantity), 4) AS avg_qty, round(avg(l_extendedprice), 2) AS avg_price, round(avg(l_discount), 2) AS avg_disc, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY l_returnflag, l_linestatus",
-    "q3_shipping_priority": "SELECT l_orderkey, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue, o_orderdate FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE c_mktsegment = 'BUILDING' AND o_orderdate < TIMESTAMP '1995-03-15 00:00:00' AND l_shipdate > TIMESTAMP '1995-03-15 00:00:00' GROUP BY l_orderkey, o_orderdate",
-    "q5_local_supplier": "SELECT n_name, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey AND c_nationkey = s_nationkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name",
+    "q1_pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price, round(sum(l_extendedprice * (1 - l_discount)), 4) AS sum_disc_price, round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS sum_charge, round(avg(l_quantity), 4) AS avg_qty, round(avg(l_extendedprice), 2) AS avg_price, round(avg(l_discount), 2) AS avg_disc, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY l_returnflag, l_linestatus",
+    "q3_shipping_priority": "SELECT l_orderkey, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue, o_orderdate FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE c_mktsegment = 'BUILDING' AND o_orderdate < TIMESTAMP '1995-03-15 00:00:00' AND l_shipdate > TIMESTAMP '1995-03-15 00:00:00' GROUP BY l_orderkey, o_orderdate",
+    "q5_local_supplier": "SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey AND c_nationkey = s_nationkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name",
     "q6_forecast": "SELECT CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(18,4))) AS DOUBLE) AS revenue FROM lineitem WHERE l_shipdate >= TIMESTAMP '1994-01-01 00:00:00' AND l_shipdate < TIMESTAMP '1995-01-01 00:00:00' AND l_discount BETWEEN 0.05 AND 0.07 AND l_quantity < 24",
-    "q10_returns": "SELECT c_custkey, c_name, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY c_custkey, c_name",
+    "q10_returns": "SELECT c_custkey, c_name, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY c_custkey, c_name",
     "q18_large_orders": "SELECT o_orderkey, o_totalprice, q FROM orders JOIN (SELECT l_orderkey, sum(l_quantity) AS q FROM lineitem GROUP BY l_orderkey HAVING sum(l_quantity) > 250) b ON o_orderkey = l_orderkey",
     "events_by_hour": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",
 }
