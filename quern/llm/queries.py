@@ -80,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-#: SQL where SQL can express the query.
+#: SQL where SQL can express the query, over tables whose ids are unique and not null.
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": rf"""
 WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
