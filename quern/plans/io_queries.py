@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern import client
 from quern.session import shared_folder, table
 from quern.sources import files, sinks
 from quern.streaming import windows
@@ -77,6 +78,35 @@ def series_times_open(spark, sf_dir):
     return files.generate_times(spark, "2024-01-01 00:00:00", "2024-01-03 00:00:00", "6 HOURS", inclusive=False)
 
 
+@query("SELECT string_agg(r_name, ' ' ORDER BY r_regionkey) AS content, sum(length(r_name) + 1)::BIGINT AS size, 1 AS files FROM region")
+def text_and_glob(spark, sf_dir):
+    path = shared_folder(spark, "text")
+    table(spark, sf_dir, "region").orderBy("r_regionkey").select("r_name").coalesce(1).write.text(path)
+    found = files.read_text(spark, f"{path}/*.txt").select(F.trim(F.translate("content", "\n", " ")).alias("content"), "size")
+    n = files.glob(spark, f"{path}/*.txt").agg(F.count("*").cast("int").alias("files"))
+    return found.crossJoin(F.broadcast(n))  # a row
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def csv_sniffed(spark, sf_dir):
+    path = shared_folder(spark, "sniffed")
+    sinks.copy_to(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), path, "csv", header="true", sep=";")
+    found = files.sniff_csv(spark, path)
+    return files.read_csv(spark, path, "o_orderkey long, o_orderstatus string", found["delimiter"], found["has_header"])
+
+
+@query("SELECT c_custkey, c_name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def tables_by_name(spark, sf_dir):
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name").createOrReplaceTempView("quern_a")
+    table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").createOrReplaceTempView("quern_b")
+    return files.query_table(spark, ["quern_a", "quern_b"])
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def arrow_scan(spark, sf_dir):
+    return client.register(spark, "quern_arrow", client.fetch_arrow(table(spark, sf_dir, "nation").select("n_nationkey", "n_name")))
+
+
 @query("SELECT count(*) AS rows, 1 AS columns, true AS noted FROM orders")
 def parquet_file_footers(spark, sf_dir):
     path = shared_folder(spark, "footers")

@@ -222,6 +222,32 @@ for _name, _what in (("window_exclude_any", "CURRENT ROW"), ("window_exclude_gro
     ORACLE_SQL[_name] = "SELECT l_suppkey, l_orderkey, " + ", ".join(f"{'round(' * (h == 'avg')}{h}(q) {_frame}{', 6)' * (h == 'avg')} AS a_{h}" for h in ("sum", "count", "min", "max", "avg")) + f" FROM {_INFINITE}"
 
 
+@query(f"SELECT event_id, v_id FROM (SELECT event_id, user_id, ts FROM events WHERE event_type <> 'view') ASOF RIGHT JOIN {_VIEWS} v ON user_id = v_user AND ts >= v_ts")
+def asof_right(spark, sf_dir):
+    e, v = _events(spark, sf_dir)
+    others = table(spark, sf_dir, "events").where("event_type <> 'view'").select("event_id", "user_id", "ts")
+    return joins.asof_join(others, v, "ts", "v_ts", [("user_id", "v_user")], "right").select("event_id", "v_id")
+
+
+@query(f"SELECT event_id FROM events WHERE EXISTS (SELECT 1 FROM {_VIEWS} v WHERE v_user = user_id AND ts > v_ts)")
+def asof_semi(spark, sf_dir):
+    e, v = _events(spark, sf_dir)
+    return joins.asof_join(e, v, "ts", "v_ts", [("user_id", "v_user")], "semi", ">").select("event_id")
+
+
+@query("SELECT p_partkey, unnest([[p_size, 1], [], [2]], recursive := true) AS x FROM part")
+def unnest_nested(spark, sf_dir):
+    none = F.array().cast("array<int>")
+    return rows.unnest_recursive(table(spark, sf_dir, "part").select("p_partkey", F.array(F.array("p_size", F.lit(1)), none, F.array(F.lit(2))).alias("x")), "x")
+
+
+@query("SELECT column_name, min, max, count, round(avg::DOUBLE, 4) AS mean, round(std::DOUBLE, 4) AS deviation, null_percentage::DOUBLE AS nulls FROM (SUMMARIZE (SELECT p_partkey, CASE WHEN p_size > 10 THEN p_size END AS p_size FROM part))")
+def summarize_nulls(spark, sf_dir):
+    found = rows.summarize(table(spark, sf_dir, "part").select("p_partkey", F.expr("CASE WHEN p_size > 10 THEN p_size END").alias("p_size")))
+    number = lambda c, n: F.round(F.col(c).cast("double"), 4).alias(n)
+    return found.select("column_name", "min", "max", "count", number("avg", "mean"), number("std", "deviation"), F.col("null_percentage").alias("nulls"))
+
+
 _BIG = "9007199254740992"
 
 

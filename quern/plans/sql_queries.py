@@ -23,6 +23,8 @@ TEXTS: dict[str, str] = {
     "three_valued_logic": "SELECT p_partkey, (CASE WHEN p_size > 25 THEN NULL ELSE p_size > 10 END) AND p_size % 2 = 0 AS a, (CASE WHEN p_size > 25 THEN NULL ELSE p_size > 10 END) OR p_size % 2 = 0 AS b, NULLIF(p_size, 7) IS DISTINCT FROM 8 AS c, (p_size > 10) IS NOT TRUE AS d FROM part",
     "case_and_coalesce": "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'debt' WHEN c_acctbal < 1000 THEN 'low' ELSE 'high' END AS level, COALESCE(NULLIF(c_nationkey, 3), -1) AS nation FROM customer",
     "casts": "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS i, CAST(l_linenumber AS VARCHAR(10)) AS s, CAST(l_extendedprice AS DECIMAL(18,2)) AS d, CAST(l_shipdate AS DATE) AS day, TRY_CAST(l_returnflag AS INTEGER) AS n FROM lineitem",
+    "alias_reuse": "SELECT p_partkey, p_size * 2 AS twice, twice + 1 AS more FROM part",
+    "not_in_with_nulls": "SELECT s_suppkey FROM supplier WHERE s_nationkey NOT IN (SELECT CASE WHEN n_nationkey > 20 THEN NULL ELSE n_nationkey END FROM nation WHERE n_regionkey IN (1, 3)) OR s_nationkey = 4",
     "select_distinct": "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem",
     "group_by_all": "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL",
     "values_rows": "SELECT a, b FROM (VALUES (1, 'x'), (2, 'y'), (3, NULL)) AS t(a, b)",
