@@ -113,8 +113,8 @@ def aggregate_function(spark: SparkSession, name: str, fn: Callable[..., object]
     def whole(x: pd.Series) -> float:
         return fn(x)
 
-    whole.__annotations__ = {"x": pd.Series, "return": object}
-    made = F.pandas_udf(whole, returns, F.PandasUDFType.GROUPED_AGG)
+    whole.__annotations__ = {"x": pd.Series, "return": float}  # types, not their names: Spark reads the kind of function off them
+    made = F.pandas_udf(whole, returns)
     spark.udf.register(name, made)
     return made
 

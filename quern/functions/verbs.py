@@ -28,7 +28,7 @@ for _name, _type in {
     "as_POSIXct": "timestamp_ntz", "as_integer64": "bigint", "as_date": "date", "as_datetime": "timestamp_ntz",
 }.items():
     VERBS[_name] = lambda x, _t=_type: col(x).cast(_t)
-VERBS["as_integer"] = lambda x: F.round(col(x).cast("double")).cast("int")
+VERBS["as_integer"] = lambda x: F.rint(col(x).cast("double")).cast("int")
 
 
 # Arithmetic: R's modulus has the divisor's sign, its whole division rounds down.

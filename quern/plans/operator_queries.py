@@ -199,9 +199,9 @@ def window_distinct_null_keys(spark, sf_dir):
     return windows.distinct_aggregate(one, F.count, "c_nationkey", ["k"], "n", F.col("c_acctbal") > 0).select("c_custkey", "s", "n")
 
 
-@query(f"SELECT k, round(mad(c_acctbal), 2) AS mad FROM {_KEYED} GROUP BY k")
+@query(f"SELECT k, round(mad(c_acctbal), 6) AS mad FROM {_KEYED} GROUP BY k")
 def agg_mad_null_keys(spark, sf_dir):
-    return aggregates.mad(_keyed(spark, sf_dir), ["k"], "c_acctbal").withColumn("mad", F.round("mad", 2))
+    return aggregates.mad(_keyed(spark, sf_dir), ["k"], "c_acctbal").withColumn("mad", F.round("mad", 6))
 
 
 _INFINITE = "(SELECT l_suppkey, l_orderkey, CASE WHEN l_orderkey % 50 = 0 THEN 'inf'::DOUBLE ELSE sum(l_quantity) END AS q FROM lineitem GROUP BY l_suppkey, l_orderkey)"
