@@ -30,6 +30,8 @@ BLOCK_IDS = coder.LANES * 512
 REMEMBERED, TOGETHER, CHARACTERS, LONGEST = 300_000, 128, 2_000_000, 64
 #: White space to Python alone.
 ODD = "\x1c\x1d\x1e\x1f"
+#: Holds a unit of each kind.
+PROBE = "The Quick-brown fox's 3rd café: ÀÉß ŁŐ $$$ 12!? nº «x» don't 日本\n Σας"
 NO_ID = -(1 << 63)
 BLOCKS = "range int, number int, n_docs long, n_ids long, block binary"
 
@@ -94,6 +96,9 @@ class WordTokenizer:
         #: By hash: the second hash and the ids, as bytes; strange words by themselves.
         self.known: dict[int | str, bytes] = {}
         self.before: dict[int | str, bytes] = {}
+        #: Whether this tokenizer is of the kind described; texts of any other go to the library as they are.
+        self.by_units = bool(self.ends.any())
+        self.by_units = self.by_units and np.array_equal(self.encode([PROBE])[0], self.whole.encode(PROBE, add_special_tokens=False).ids)
 
     def _units(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Begin and end of each unit, and whether it stands as it is."""
@@ -192,6 +197,8 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        if not self.by_units:
+            return [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
         out: list[np.ndarray] = []
         at = 0
         while at < len(texts):
