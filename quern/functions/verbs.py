@@ -189,7 +189,7 @@ VERBS["is_na"] = lambda x: col(x).isNull()
 VERBS["r_in"] = lambda x, values: F.coalesce(col(x).isin([v for v in values if v is not None]), F.lit(False)) | (col(x).isNull() & F.lit(None in values))
 VERBS["if_else"] = lambda test, yes, no: F.when(col(test).isNull(), None).when(col(test), col(yes)).otherwise(col(no))
 for _op, _fn in {
-    "+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y, "/": lambda x, y: x.cast("double") / F.nullif(y.cast("double"), F.lit(0.0)),
+    "+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y,
     "==": lambda x, y: x == y, "!=": lambda x, y: x != y, "<": lambda x, y: x < y, "<=": lambda x, y: x <= y, ">": lambda x, y: x > y, ">=": lambda x, y: x >= y,
     "&": lambda x, y: x & y, "|": lambda x, y: x | y,
 }.items():
