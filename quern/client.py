@@ -20,7 +20,6 @@ from quern.operators import joins, rows, sets
 from quern.streaming import windows
 
 _STATEMENT = re.compile(r"""(?:'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`|--[^\n]*|/\*.*?\*/|[^;])+""", re.S)
-_names = itertools.count()
 
 
 # Statements.
