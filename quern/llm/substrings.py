@@ -36,7 +36,7 @@ from quern.llm.common import SLICE, as_bytes, checkpointed, map_arrow, with_ties
 WINDOW, PREFIX = 20, 10
 OFFSETS = WINDOW - PREFIX + 1
 #: Most spans of one prefix that a subtree takes; spans of a part, about.
-GROUP, PART = 20_000, 20_000
+GROUP, PART = 20_000, 5_000
 #: Stands for a null doc_id.
 NO_ID = -(1 << 63)
 _BASE = 0xD6E8FEB86659FD93
